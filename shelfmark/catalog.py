@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import backtick, column_name, literal_text
-from shelfmark.functions.predicates import select_rows
+from shelfmark.functions.predicates import compare, select_rows, where
 from shelfmark.operators import lookup as lookups
 from shelfmark.operators.items import item_columns, item_json
 from shelfmark.operators.ranking import cut_page, order_by, rank_rows
@@ -21,7 +21,7 @@ from shelfmark.operators.relations import (
     children_of_page,
     with_children,
 )
-from shelfmark.plans.request import PageRequest
+from shelfmark.plans.request import Condition, PageRequest
 from shelfmark.plans.spec import RelationSpec, ResourceSpec
 
 # The item fields a spec may map a column to.
@@ -79,7 +79,7 @@ class Catalog:
         order = order_by(self.main, request.sort_by, request.ascending, self.spec.id_column)
         keys = [column_name(self.main.schema, request.sort_by)]
         columns = list(dict.fromkeys([*self.columns, *keys]))
-        return self.rows(request).select(*(backtick(c) for c in columns)), order
+        return self.rows(request).select(*self._quoted(columns)), order
 
     def page_rows(self, request: PageRequest) -> DataFrame:
         """The main rows of one page, in order."""
@@ -93,8 +93,16 @@ class Catalog:
         local relation, so that its keys can be pushed into the scans of the children.
         """
         rows = self.page_rows(request or self.request())
-        if not self.relations:
-            return self.items_of(rows)
+        return self._local_items(rows) if self.relations else self.items_of(rows)
+
+    def item(self, id: str) -> DataFrame:
+        """The item with an id, no row if there is none or the base filter hides it."""
+        same = compare(self.main, Condition(self.spec.id_column, "=", id))
+        rows = where(self.main, self.spec.base_filter, same).select(*self._quoted(self.columns))
+        return self._local_items(rows.orderBy(*self._quoted(self.columns)).limit(1))
+
+    def _local_items(self, rows: DataFrame) -> DataFrame:
+        """Items of a bounded number of rows, each relation cut to their children."""
         page = rows.toArrow()
         cut = {}
         for name, relation in self.relations.items():
@@ -104,6 +112,10 @@ class Catalog:
             cut[name] = children_of_page(relation, self._child(name), sorted(keys), kind)
         return self.items_of(self.spark.createDataFrame(page, rows.schema), cut)
 
+    @staticmethod
+    def _quoted(columns: list[str]) -> list[str]:
+        return [backtick(c) for c in columns]
+
     def summary(self, request: PageRequest | None = None) -> DataFrame:
         """Total, page, page size and page count of a request, from the same rows."""
         request = request or self.request()
@@ -112,7 +124,7 @@ class Catalog:
     def items(self, request: PageRequest | None = None) -> DataFrame:
         """Every matching item with its children, unpaged and unsorted."""
         request = request or self.request()
-        rows = self.rows(request).select(*(backtick(c) for c in self.columns))
+        rows = self.rows(request).select(*self._quoted(self.columns))
         narrowed = bool(request.conditions or request.updated_since)
         if narrowed and self.relations and rows.count() <= BROADCAST_ROWS:
             return self.items_of(rows, self.children_of(rows))
