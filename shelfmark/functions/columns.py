@@ -20,6 +20,11 @@ def backtick(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_string(text: str) -> str:
+    """Text as an SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def sql_text(text: str) -> str:
     """User SQL with ``"Name"`` identifiers in the quotes Spark SQL uses for them."""
     return _QUOTED_NAME.sub(lambda m: backtick(m.group(1)) if m.group(1) else m.group(0), text)

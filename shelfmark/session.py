@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording a stack trace for every column expression slows down plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -68,10 +68,10 @@ def entries(raw: DataFrame) -> DataFrame:
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
-    """The malformed lines. The parsed columns are read too: Spark refuses a query that
-    asks for the corrupt-record column alone."""
-    broken = raw.where(F.col(CORRUPT).isNotNull())
-    return broken.select(F.col(CORRUPT).alias("line"), "ts", DATE)
+    """The malformed lines and their ``log_date``. The test names a parsed column too, as
+    Spark refuses a query that asks for the corrupt-record column alone."""
+    broken = raw.where(F.col(CORRUPT).isNotNull() & F.coalesce(CORRUPT, "ts").isNotNull())
+    return broken.select(F.col(CORRUPT).alias("line"), DATE)
 
 
 def read_log(spark: SparkSession, folder: str) -> DataFrame:
