@@ -61,8 +61,6 @@ class RelationSpec:
     def __post_init__(self):
         if not self.table or not self.foreign_key:
             raise ValueError("a relation needs a table and a foreign key")
-        if not self.fields:
-            raise ValueError(f"relation on '{self.table}' selects no fields")
 
     @property
     def picked_field(self) -> str | None:
