@@ -58,13 +58,13 @@ def _nothing_read() -> Column:
 
 
 def entries(raw: DataFrame) -> DataFrame:
-    """The well-formed entries of raw lines, typed, with their ``log_date``.
+    """The well-formed entries of raw lines, typed; ``quarantine`` has the other lines.
 
-    Malformed lines and bare ``null`` lines are left out; ``quarantine`` has the former.
+    ``log_date`` is the folder an entry was read from, null in a folder without dates.
     """
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ENTRY_SCHEMA]
     kept = raw.where(F.col(CORRUPT).isNull() & ~_nothing_read())
-    return kept.select(*typed, F.coalesce(F.col(DATE), log_date(F.col("ts"))).alias(DATE))
+    return kept.select(*typed, DATE)
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
