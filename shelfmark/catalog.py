@@ -23,6 +23,7 @@ from shelfmark.operators.relations import (
 )
 from shelfmark.plans.request import Condition, PageRequest
 from shelfmark.plans.spec import RelationSpec, ResourceSpec
+from shelfmark.session import store
 
 # The item fields a spec may map a column to.
 ITEM_FIELDS = ("title", "price", "currency", "category", "status")
@@ -122,13 +123,18 @@ class Catalog:
         return page_summary(self.rows(request), request.page, request.page_size)
 
     def items(self, request: PageRequest | None = None) -> DataFrame:
-        """Every matching item with its children, unpaged and unsorted."""
+        """Every matching item with its children, unpaged and unsorted.
+
+        A narrowed request keeps its rows in the shared folder: if they are few, only
+        their children are grouped.
+        """
         request = request or self.request()
         rows = self.rows(request).select(*self._quoted(self.columns))
-        narrowed = bool(request.conditions or request.updated_since)
-        if narrowed and self.relations and rows.count() <= BROADCAST_ROWS:
-            return self.items_of(rows, self.children_of(rows))
-        return self.items_of(rows)
+        if not self.relations or not (request.conditions or request.updated_since):
+            return self.items_of(rows)
+        rows = store(rows, "narrowed")
+        few = rows.count() <= BROADCAST_ROWS
+        return self.items_of(rows, self.children_of(rows) if few else None)
 
     def all_pages(self, request: PageRequest | None = None) -> DataFrame:
         """Every matching row with its rank and the page it is on."""

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.columns import INTEGRAL, TEXT, backtick, sql_string
 from shelfmark.operators.relations import BROADCAST_ROWS
+from shelfmark.session import store
 from shelfmark.sources.metadata import Metadata, row_counts, table_columns
 
 # A column is checked exactly if its estimated distinct count is above this share of its
@@ -50,9 +51,11 @@ def _table_profile(name: str, df: DataFrame, distinct: bool) -> DataFrame:
 def profiled_columns(
     tables: Mapping[str, DataFrame], key_columns=frozenset(), distinct: bool = True
 ) -> DataFrame:
-    """Column metadata together with the profile's counts."""
+    """Column metadata together with the profile's counts, stored: matching reads it many
+    times, the tables are read once."""
     counts = column_profile(tables, distinct).drop("column_name", "data_type")
-    return table_columns(tables, key_columns).join(counts, ["table_name", "ordinal"])
+    columns = table_columns(tables, key_columns).join(counts, ["table_name", "ordinal"])
+    return store(columns.coalesce(1), "columns")
 
 
 def candidate_keys(tables: Mapping[str, DataFrame]) -> DataFrame:

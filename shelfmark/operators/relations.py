@@ -3,9 +3,10 @@
 Children are grouped by key *before* the join, so several relations never multiply each
 other, and each joins the parents on a key they are both partitioned by.
 
-A group of more than ``ARRAY_ROWS`` children is never gathered by one task. Its rows are
-spread over several *parts*, and the parent is emitted once for each: part 0 to
-``parts - 1``, whose arrays together hold every child once. All other parents have one part.
+A group of more than ``ARRAY_ROWS`` children or ``ARRAY_BYTES`` of text is never gathered by
+one task. Its rows are spread over several *parts*, and the parent is emitted once for each:
+part 0 to ``parts - 1``, whose arrays together hold every child once. All other parents have
+one part.
 """
 
 from __future__ import annotations
@@ -30,8 +31,11 @@ from shelfmark.functions.columns import (
 from shelfmark.plans.spec import RelationSpec
 from shelfmark.session import store
 
-# Children in one array. A parent with more is split into parts.
+# Children in one array, and bytes of text in it. A parent with more is split into parts.
 ARRAY_ROWS = 100_000
+ARRAY_BYTES = 64 << 20
+# A part is filled with this many pieces or more, so that hashing fills parts evenly.
+PIECES = 8
 # Rows of a key table that is still sent to every executor (a few bytes per row).
 BROADCAST_ROWS = 100_000
 
@@ -66,13 +70,32 @@ def child_rows(relation: RelationSpec, source: DataFrame) -> DataFrame:
     return rows.where(keep)
 
 
+def _bytes(value: str, kind: T.DataType) -> Column | None:
+    """The text held by a child's value; None if it holds none."""
+    fields = kind.fields if isinstance(kind, T.StructType) else None
+    if fields is None:
+        texts = [F.col(value)] if isinstance(kind, (*TEXT, T.BinaryType)) else []
+    else:
+        texts = [
+            F.col(f"{value}.{backtick(f.name)}")
+            for f in fields
+            if isinstance(f.dataType, (*TEXT, T.BinaryType))
+        ]
+    sizes = [F.coalesce(F.octet_length(t), F.lit(0)).cast("bigint") for t in texts]
+    return reduce(lambda a, b: a + b, sizes) if sizes else None
+
+
 def large_groups(rows: DataFrame, array_rows: int) -> DataFrame | None:
-    """Keys with more than ``array_rows`` rows, and into how many parts they go.
+    """Keys of groups too large for one array, and into how many parts they go.
 
-    Reads the key column alone and combines counts before the shuffle.
+    Reads the key and the texts alone and combines their sums before the shuffle.
     """
-    sizes = rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > array_rows)
-    large = sizes.select(KEY, F.ceil(F.col("n") / array_rows).cast("int").alias(PARTS))
+    parts = F.ceil(F.count(F.lit(1)) / array_rows)
+    text = _bytes("value", rows.schema["value"].dataType)
+    if text is not None:
+        parts = F.greatest(parts, F.ceil(F.sum(text) / ARRAY_BYTES))
+    sizes = rows.groupBy(KEY).agg(parts.cast("int").alias(PARTS))
+    large = sizes.where(F.col(PARTS) > 1)
     if large.agg(F.count(F.lit(1))).first()[0] == 0:
         return None
     return store(large, "large-groups")
@@ -94,15 +117,19 @@ def _split_arrays(rows: DataFrame, large: DataFrame, array_rows: int) -> DataFra
     repeats. A value's count is then cut into pieces, and a hash of value and piece picks
     the part: the same on every attempt, and even however the values are distributed.
     """
-    piece = max(1, array_rows // 8)
-    value_hash = [F.col("value"), F.col("_piece")]
+    piece = F.lit(max(1, array_rows // PIECES))
+    text = _bytes("value", rows.schema["value"].dataType)
+    if text is not None:
+        fitting = F.lit(ARRAY_BYTES // PIECES) / F.greatest(text, F.lit(1))
+        piece = F.greatest(F.lit(1), F.least(piece, F.floor(fitting)))
     pieces = (
         rows.join(maybe_broadcast(large), KEY)
         .groupBy(KEY, PARTS, "value")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_piece", F.expr(f"explode(sequence(0L, (_n - 1) div {piece}))"))
-        .withColumn("_n", F.least(F.lit(piece), F.col("_n") - F.col("_piece") * piece))
-        .withColumn(PART, F.pmod(F.xxhash64(*value_hash), F.col(PARTS)).cast("int"))
+        .withColumn("_size", piece.cast("bigint"))
+        .withColumn("_piece", F.expr("explode(sequence(0L, (_n - 1) div _size))"))
+        .withColumn("_n", F.least("_size", F.col("_n") - F.col("_piece") * F.col("_size")))
+        .withColumn(PART, F.pmod(F.xxhash64("value", "_piece"), F.col(PARTS)).cast("int"))
     )
     counted = F.sort_array(F.collect_list(F.struct("value", F.col("_n").cast("int").alias("n"))))
     repeated = F.flatten(F.transform(counted, lambda v: F.array_repeat(v["value"], v["n"])))
@@ -205,8 +232,10 @@ def children_of_page(
     foreign_key = F.expr(sql_text(relation.foreign_key))
     kind = source.select(foreign_key.alias(KEY)).schema[KEY].dataType
     if isinstance(kind, TEXT) and not isinstance(id_type, TEXT):
-        return source.where(foreign_key.try_cast(id_type).isin(keys))
-    return source.where(foreign_key.isin([F.lit(k).try_cast(kind) for k in keys]))
+        foreign_key = foreign_key.try_cast(id_type)
+    elif kind != id_type:
+        keys = [F.lit(k).try_cast(kind) for k in keys]
+    return source.where(foreign_key.isin(keys))
 
 
 def children_of(relation: RelationSpec, source: DataFrame, parents: DataFrame, key: str):

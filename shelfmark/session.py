@@ -12,6 +12,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Windows of many clients outgrow executor memory; this store spills to disk.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Recording a stack trace for every column expression slows down plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -19,15 +19,13 @@ def read_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -
     return entries(reader.option("maxFilesPerTrigger", files_per_batch).json(folder))
 
 
-def ingest(
-    stream: DataFrame, folder: str, checkpoint: str | None = None, format: str = "json"
-) -> StreamingQuery:
+def ingest(stream: DataFrame, folder: str, checkpoint: str | None = None) -> StreamingQuery:
     """Append the stream to a dated log folder, up to what is there now.
 
     Run again with the same ``checkpoint`` it goes on from where it stopped.
     """
     dated = stream.select(*ENTRY_COLUMNS, log_date(F.col("ts")).alias(DATE))
-    return _run(dated, folder, checkpoint, format, DATE)
+    return _run(dated, folder, checkpoint, "json", DATE)
 
 
 def breaches(

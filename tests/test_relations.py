@@ -97,6 +97,21 @@ def test_parts_on_a_page_and_in_a_lookup(parents, children):
         assert flat["1"] == Counter({"same": 300}) and len(parts["1"]) == 8
 
 
+def test_long_texts_are_split_by_their_bytes(spark, parents, monkeypatch):
+    monkeypatch.setattr(relations, "ARRAY_BYTES", 4000)
+    long = F.when(F.col("id") % 2 == 0, F.repeat(F.lit("x"), F.lit(300)))
+    long = long.otherwise(F.format_string("%0300d", "id"))
+    child = spark.range(200).select(F.lit(1).alias("fk"), long.alias("v"), F.lit(1).alias("n"))
+    truth = Counter(r.v for r in child.collect())
+    for relation in (FLAT, RelationSpec("child", "fk", {"v": "v", "n": "n"})):
+        catalog = Catalog(spec(found=relation), parents, {"child": child})
+        found, parts = gathered(catalog.items(), "found")
+        plain = {k if isinstance(k, str) else dict(k)["v"]: n for k, n in found["1"].items()}
+        assert plain == truth
+        assert len(parts["1"]) == 15 and max(size for _, _, size in parts["1"]) < 60
+        assert len(parts["0"]) == 1
+
+
 def test_arrays_are_sorted(parents, children):
     catalog = Catalog(spec(nested=NESTED), parents, {"child": children})
     row = catalog.items().where("externalId = '2'").first()
