@@ -14,10 +14,8 @@ from shelfmark.operators.items import item_columns, item_json
 from shelfmark.operators.ranking import cut_page, order_by, rank_rows
 from shelfmark.operators.relations import (
     ARRAY_ROWS,
-    BROADCAST_ROWS,
     PART,
     PARTS,
-    children_of,
     children_of_page,
     with_children,
 )
@@ -125,7 +123,7 @@ class Catalog:
     def items(self, request: PageRequest | None = None) -> DataFrame:
         """Every matching item with its children, unpaged and unsorted.
 
-        A narrowed request keeps its rows in the shared folder: if they are few, only
+        The rows of a request with conditions are kept in the shared folder, and only
         their children are grouped.
         """
         request = request or self.request()
@@ -133,8 +131,7 @@ class Catalog:
         if not self.relations or not (request.conditions or request.updated_since):
             return self.items_of(rows)
         rows = store(rows, "narrowed")
-        few = rows.count() <= BROADCAST_ROWS
-        return self.items_of(rows, self.children_of(rows) if few else None)
+        return self.items_of(rows, narrowed=True)
 
     def all_pages(self, request: PageRequest | None = None) -> DataFrame:
         """Every matching row with its rank and the page it is on."""
@@ -158,24 +155,19 @@ class Catalog:
     def _child(self, name: str) -> DataFrame:
         return self.children[self.spec.relations[name].table]
 
-    def children_of(self, rows: DataFrame) -> dict[str, DataFrame]:
-        """Each relation's child table cut down to the children of ``rows``."""
-        return {
-            name: children_of(r, self._child(name), rows, r.reference_key or self.spec.id_column)
-            for name, r in self.relations.items()
-        }
-
     def items_of(
         self,
         rows: DataFrame,
         children: Mapping[str, DataFrame] | None = None,
         keep: Mapping[str, str] | None = None,
+        narrowed: bool = False,
     ) -> DataFrame:
         """Main rows as items, with ``children`` by relation (default: the whole child
-        tables) and the main columns ``keep`` names."""
+        tables) and the main columns ``keep`` names. ``narrowed`` rows are a stored part
+        of the main table."""
         sources = children or {name: self._child(name) for name in self.relations}
         enriched = with_children(
-            rows, self.relations, sources, self.spec.id_column, self.array_rows
+            rows, self.relations, sources, self.spec.id_column, self.array_rows, narrowed
         )
         kept = [F.col(backtick(c)).alias(alias) for alias, c in (keep or {}).items()]
         parts = [F.col(PART).alias("part"), F.col(PARTS).alias("parts")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import backtick, column_name, try_cast_to
 from shelfmark.functions.predicates import where
-from shelfmark.operators.relations import maybe_broadcast
+from shelfmark.operators.relations import is_small, maybe_broadcast
 from shelfmark.session import store
 
 if TYPE_CHECKING:
@@ -27,22 +27,28 @@ def asked_ids(ids: DataFrame) -> DataFrame:
 
 
 def found_rows(catalog: Catalog, asked: DataFrame) -> DataFrame:
-    """One main row for each asked id that passes the base filter.
+    """One main row for each asked id that passes the base filter: the least of them,
+    where several have one id, by an aggregate that combines before its shuffle.
 
-    The asked side is broadcast only while it is small; else both sides shuffle by id.
-    Several rows with one id give the least of them, by an aggregate that combines early.
+    Few asked ids are broadcast, so that only their rows are shuffled. Else the shuffle
+    that brings together the rows of an id also serves the join with the asked ones.
     """
     spec, main = catalog.spec, catalog.main
     name = column_name(main.schema, spec.id_column)
     kind = main.schema[name].dataType
-    keys = asked.select(try_cast_to(F.col("id"), kind).alias("_asked")).where("_asked IS NOT NULL")
+    typed = try_cast_to(F.col("id"), kind).alias(name)
+    keys = asked.select(typed).where(F.col(backtick(name)).isNotNull())
     rows = where(main, spec.base_filter).select(*(backtick(c) for c in catalog.columns))
-    rows = rows.join(maybe_broadcast(keys), F.col(backtick(name)) == F.col("_asked"), "left_semi")
+    few = is_small(keys)
+    if few:
+        rows = rows.join(F.broadcast(keys), name, "left_semi")
     others = [c for c in catalog.columns if c != name]
-    if not others:
-        return rows.distinct()
-    least = F.min(F.struct(*(backtick(c) for c in others))).alias("_row")
-    return rows.groupBy(backtick(name)).agg(least).select(backtick(name), "_row.*")
+    if others:
+        least = F.min(F.struct(*(backtick(c) for c in others))).alias("_row")
+        rows = rows.groupBy(backtick(name)).agg(least).select(backtick(name), "_row.*")
+    else:
+        rows = rows.distinct()
+    return rows if few else rows.join(keys, name, "left_semi")
 
 
 def _same_id(catalog: Catalog, asked_id: Column, item_key: str) -> Column:
@@ -58,11 +64,9 @@ def lookup(catalog: Catalog, ids: DataFrame) -> DataFrame:
     asked = asked_ids(ids)
     found = found_rows(catalog, asked)
     name = column_name(found.schema, catalog.spec.id_column)
-    children = None
     if catalog.relations:
         found = store(found, "found")
-        children = catalog.children_of(found)
-    items = catalog.items_of(found, children, keep={"_id": name})
+    items = catalog.items_of(found, keep={"_id": name}, narrowed=True)
     answers = asked.join(items, _same_id(catalog, F.col("id"), "_id"), "left")
     status = F.when(F.col("_id").isNull(), NOT_FOUND).otherwise(FOUND)
     return answers.withColumn("status_code", status).drop("_id")

@@ -119,13 +119,16 @@ def foreign_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> Da
     have its type are tested. All columns that may refer to one key are tested together:
     their distinct values, tagged, meet the key's values in one join.
     """
-    pairs = defaultdict(list)
+    named = defaultdict(list)
     for to_table, key in keys.items():
-        for from_table, df in tables.items():
-            for f in df.schema:
-                if from_table != to_table and _may_refer(
-                    tables, from_table, f, to_table, tables[to_table].schema[key]
-                ):
+        for name in _reference_names(to_table, key, tables[to_table].columns):
+            named[name].append(to_table)
+    pairs = defaultdict(list)
+    for from_table, df in tables.items():
+        for f in df.schema:
+            for to_table in named.get(bare_name(f.name, df.columns), ()):
+                key = tables[to_table].schema[keys[to_table]]
+                if from_table != to_table and _same_kind(f.dataType, key.dataType):
                     pairs[to_table].append((from_table, f.name))
     tested = [_orphans(tables, found, table, keys[table]) for table, found in pairs.items()]
     if not tested:
@@ -172,19 +175,17 @@ def _widest(kind: T.DataType) -> T.DataType:
     return T.LongType() if isinstance(kind, INTEGRAL) else kind
 
 
-def _may_refer(tables, from_table: str, f: T.StructField, to_table: str, key: T.StructField):
-    """Same kind of value, and a name that is the key's, or the table's and the key's."""
-    same_kind = any(
-        isinstance(f.dataType, kinds) and isinstance(key.dataType, kinds)
-        for kinds in (INTEGRAL, TEXT)
+def _same_kind(kind: T.DataType, other: T.DataType) -> bool:
+    return kind == other or any(
+        isinstance(kind, kinds) and isinstance(other, kinds) for kinds in (INTEGRAL, TEXT)
     )
-    if not (same_kind or f.dataType == key.dataType):
-        return False
-    name = bare_name(f.name, tables[from_table].columns)
-    target = bare_name(key.name, tables[to_table].columns)
-    table = _letters(to_table)
-    owned = {table + target, table.removesuffix("s") + target}
-    return name in owned or (name == target and name != "id")
+
+
+def _reference_names(table: str, key: str, columns: list[str]) -> set[str]:
+    """Names of columns that may refer to a key: its own, unless that is a mere ``id``, and
+    the table's with it."""
+    name, owner = bare_name(key, columns), _letters(table)
+    return {owner + name, owner.removesuffix("s") + name} | ({name} - {"id"})
 
 
 def bare_name(name: str, columns: list[str]) -> str:

@@ -26,29 +26,35 @@ def order_by(df: DataFrame, sort_by: str, ascending: bool, id_column: str) -> li
     return order
 
 
-def rank_rows(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFrame:
-    """``df`` with the 1-based position of each row in ``order``.
+def _placed(df: DataFrame, order: list[Column]) -> tuple[DataFrame, list[tuple[int, int, int]]]:
+    """``df`` in ``order`` with each row's ``_place``, and per partition the rows before it
+    and in it.
 
     Rows are range-partitioned and sorted in parallel and then written, because the
-    sampled range bounds differ from run to run. A row's rank is its place in its
-    partition plus the rows in the partitions before it.
+    sampled range bounds differ from run to run. The list has one entry for each range
+    partition: it is bounded by their number, not by the data.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     table = store(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranked")
-    part = F.shiftright("_place", _ROW_BITS)
-
-    # One row per range partition: bounded by the partition count, not by the data.
-    sizes = sorted(table.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
-    before, starts = 0, []
-    for number, size in sizes:
-        starts.append((number, before))
+    part = F.shiftright("_place", _ROW_BITS).alias("part")
+    starts, before = [], 0
+    for number, size in sorted(table.groupBy(part).agg(F.count(F.lit(1))).collect()):
+        starts.append((number, before, size))
         before += size
-    starts = df.sparkSession.createDataFrame(starts, "_part bigint, _before bigint")
+    return table, starts
+
 
+def rank_rows(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFrame:
+    """``df`` with the 1-based position of each row in ``order``: its place in its range
+    partition plus the rows in the partitions before."""
+    table, starts = _placed(df, order)
+    begins = df.sparkSession.createDataFrame(
+        [(number, before) for number, before, _ in starts], "_part bigint, _before bigint"
+    )
     in_part = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        table.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
+        table.withColumn("_part", F.shiftright("_place", _ROW_BITS))
+        .join(F.broadcast(begins), "_part")
         .withColumn(rank, F.col("_before") + in_part + 1)
         .drop("_part", "_place", "_before")
     )
@@ -57,10 +63,16 @@ def rank_rows(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFra
 def cut_page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of ``df`` in ``order``.
 
-    Callers pass ``df`` narrowed to what the page and the order need.
+    Callers pass ``df`` narrowed to what the page and the order need. A deep page is a
+    range of places, so of the ranked rows only the row groups that hold it are read.
     """
     if offset + limit <= TOP_ROWS:
         return df.orderBy(*order).offset(offset).limit(limit)
-    ranked = rank_rows(df, order, "_rank")
-    page = ranked.where((F.col("_rank") > offset) & (F.col("_rank") <= offset + limit))
-    return page.orderBy("_rank").drop("_rank")
+    table, starts = _placed(df, order)
+    wanted = F.lit(False)
+    for number, before, size in starts:
+        first, last = max(offset, before), min(offset + limit, before + size)
+        if first < last:
+            base = (number << _ROW_BITS) - before
+            wanted |= F.col("_place").between(base + first, base + last - 1)
+    return table.where(wanted).orderBy("_place").limit(limit).drop("_place")

@@ -36,8 +36,9 @@ ARRAY_ROWS = 100_000
 ARRAY_BYTES = 64 << 20
 # A part is filled with this many pieces or more, so that hashing fills parts evenly.
 PIECES = 8
-# Rows of a key table that is still sent to every executor (a few bytes per row).
+# Rows of a table of keys that is still sent to every executor, and bytes of their text.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 KEY, PART, PARTS = "_key", "_part", "_parts"
 
@@ -101,9 +102,49 @@ def large_groups(rows: DataFrame, array_rows: int) -> DataFrame | None:
     return store(large, "large-groups")
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether a table of keys is counted to be small enough for every executor."""
+    text = [
+        F.sum(F.octet_length(backtick(f.name))) for f in df.schema if isinstance(f.dataType, TEXT)
+    ]
+    rows, *sizes = df.agg(F.count(F.lit(1)), *text).first()
+    return rows <= BROADCAST_ROWS and sum(n or 0 for n in sizes) <= BROADCAST_BYTES
+
+
 def maybe_broadcast(df: DataFrame) -> DataFrame:
-    """``df`` to be broadcast if it is counted to be small; else the join is Spark's choice."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """``df`` to be broadcast if it is small; else the join is Spark's choice."""
+    return F.broadcast(df) if is_small(df) else df
+
+
+def _tiers(large: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Large groups as a small table of the largest and a table of all others.
+
+    A shuffle by key brings a group to one task. That is never done to the first table's
+    groups, and those in the second are bounded: they have few parts each.
+    """
+    if is_small(large):
+        return F.broadcast(large), None
+    parts = 2
+    while not is_small(large.where(F.col(PARTS) > parts)):
+        parts *= 2
+    largest = F.broadcast(large.where(F.col(PARTS) > parts))
+    return largest, large.where(F.col(PARTS) <= parts)
+
+
+def _without(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """Rows of no large group."""
+    largest, others = _tiers(large)
+    rows = rows.join(largest, KEY, "left_anti")
+    return rows if others is None else rows.join(others, KEY, "left_anti")
+
+
+def _within(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """Rows of large groups, with the number of parts of their group."""
+    largest, others = _tiers(large)
+    found = rows.join(largest, KEY)
+    if others is None:
+        return found
+    return found.unionByName(rows.join(largest, KEY, "left_anti").join(others, KEY))
 
 
 def _arrays(rows: DataFrame) -> DataFrame:
@@ -123,7 +164,7 @@ def _split_arrays(rows: DataFrame, large: DataFrame, array_rows: int) -> DataFra
         fitting = F.lit(ARRAY_BYTES // PIECES) / F.greatest(text, F.lit(1))
         piece = F.greatest(F.lit(1), F.least(piece, F.floor(fitting)))
     pieces = (
-        rows.join(maybe_broadcast(large), KEY)
+        _within(rows, large)
         .groupBy(KEY, PARTS, "value")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_size", piece.cast("bigint"))
@@ -144,11 +185,25 @@ class ChildArrays:
     large: DataFrame | None
 
 
-def group_children(rows: DataFrame, array_rows: int = ARRAY_ROWS) -> ChildArrays:
+def group_children(
+    rows: DataFrame, array_rows: int = ARRAY_ROWS, parents: DataFrame | None = None
+) -> ChildArrays:
+    """Child rows (``_key, value``) as arrays; only of the keys in ``parents``, if given.
+
+    Few parents are broadcast, and only their children are counted. Else all groups are
+    counted, as counts combine before a shuffle, and the large ones set aside before the
+    others meet the parents in the shuffle that groups them.
+    """
+    few = parents is not None and is_small(parents)
+    if few:
+        rows = rows.join(F.broadcast(parents), KEY, "left_semi")
     large = large_groups(rows, array_rows)
+    small = rows if large is None else _without(rows, large)
+    if parents is not None and not few:
+        small = small.join(parents, KEY, "left_semi")
+        large = large and store(large.join(parents, KEY, "left_semi"), "large-groups")
     if large is None:
-        return ChildArrays(_arrays(rows), None)
-    small = rows.join(maybe_broadcast(large.select(KEY)), KEY, "left_anti")
+        return ChildArrays(_arrays(small), None)
     arrays = _arrays(small).select(KEY, F.lit(0).alias(PART), "values")
     return ChildArrays(arrays.unionByName(_split_arrays(rows, large, array_rows)), large)
 
@@ -167,11 +222,14 @@ def with_children(
     sources: Mapping[str, DataFrame],
     id_column: str,
     array_rows: int = ARRAY_ROWS,
+    narrowed: bool = False,
 ) -> DataFrame:
     """``parents`` with one array column per relation (named by ``array_column``),
     ``[]`` where there are no children, and the part each row is.
 
-    ``sources`` holds each relation's child table by the relation's name.
+    ``sources`` holds each relation's child table by the relation's name. ``narrowed``
+    says that ``parents`` is a stored part of its table: children of others are dropped
+    before they are grouped.
     """
     grouped = {}
     for name, relation in relations.items():
@@ -181,7 +239,8 @@ def with_children(
         rows = rows.withColumn(KEY, _as_type(F.col(KEY), other, kind))
         rows = rows.where(F.col(KEY).isNotNull())
         parent_key = _as_type(column(parents, reference), kind, rows.schema[KEY].dataType)
-        grouped[name] = (parent_key, group_children(rows, array_rows))
+        only = parents.select(parent_key.alias(KEY)).distinct() if narrowed else None
+        grouped[name] = (parent_key, group_children(rows, array_rows, only))
 
     result = _spread_parents(parents, list(grouped.values()))
     for name, (parent_key, children) in grouped.items():
@@ -236,14 +295,3 @@ def children_of_page(
     elif kind != id_type:
         keys = [F.lit(k).try_cast(kind) for k in keys]
     return source.where(foreign_key.isin(keys))
-
-
-def children_of(relation: RelationSpec, source: DataFrame, parents: DataFrame, key: str):
-    """Only the children of ``parents``, by a semi-join ahead of any grouping. The keys
-    are broadcast while few; else both sides shuffle on the key they are grouped by."""
-    foreign_key = F.expr(sql_text(relation.foreign_key))
-    kind = source.select(foreign_key.alias(KEY)).schema[KEY].dataType
-    keys = parents.select(_as_type(column(parents, key), column_type(parents, key), kind))
-    keys = maybe_broadcast(keys.toDF("_parent").distinct())
-    left = _as_type(foreign_key, kind, keys.schema["_parent"].dataType)
-    return source.join(keys, left == F.col("_parent"), "left_semi")

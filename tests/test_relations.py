@@ -157,8 +157,18 @@ def test_relation_without_fields(spark, parents, others):
     assert sizes["1"] == 2 and sizes["0"] == 0
 
 
-def test_unselective_requests_shuffle_children_by_key_only_once(parents, children, monkeypatch):
-    monkeypatch.setattr(relations, "BROADCAST_ROWS", 0)
-    catalog = Catalog(spec(flat=FLAT), parents, {"child": children}, 40)
-    flat, _ = gathered(catalog.items(), "flat")
-    assert {k: v for k, v in flat.items() if v} == expected(children, lambda r: r.v)
+@pytest.mark.parametrize("broadcast_rows", [0, 1, 1000])
+def test_more_large_groups_than_may_be_broadcast(spark, parents, children, monkeypatch, broadcast_rows):
+    """With room for one key only the largest group is broadcast, with room for none no
+    key is; the rows are the same."""
+    bigger = spark.range(900).select(F.lit(4).alias("fk"), F.format_string("w%d", "id").alias("v"), F.lit(1).alias("n"))
+    whole = children.unionByName(bigger)
+    monkeypatch.setattr(relations, "BROADCAST_ROWS", broadcast_rows)
+    catalog = Catalog(spec(flat=FLAT), parents, {"child": whole}, 40)
+    flat, parts = gathered(catalog.items(), "flat")
+    assert {k: v for k, v in flat.items() if v} == expected(whole, lambda r: r.v)
+    assert {k for k, v in parts.items() if len(v) > 1} == {"1", "2", "4"}
+    ids = spark.createDataFrame([("1",), ("2",), ("3",), ("8",)], "id string")
+    flat, _ = gathered(catalog.lookup(ids).where("status_code = 200"), "flat")
+    truth = expected(whole, lambda r: r.v)
+    assert flat == {k: truth[k] for k in ("1", "2", "3")}
