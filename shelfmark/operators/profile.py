@@ -64,44 +64,53 @@ def candidate_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     The profile (as long as the schemas are wide) rules most columns out; the others are
     counted exactly, each with a shuffle of that one column or, for texts, of its hash.
     """
-    profile = column_profile(tables).collect()
     spark = next(iter(tables.values())).sparkSession
-    exact, ruled_out = [], []
-    for row in profile:
+    known, exact, texts = [], [], []
+    for row in column_profile(tables).collect():
+        place = (row["table_name"], row["ordinal"], row["column_name"])
         estimate, rows = row["approx_distinct"], row["row_count"]
         possible = estimate is not None and row["filled"] == rows
-        if possible and estimate >= KEY_SHARE * rows:
-            exact.append(_exact_key(tables[row["table_name"]], row))
+        if not possible or estimate < KEY_SHARE * rows:
+            known.append((*place, False))
+            continue
+        values = tables[place[0]].select(backtick(place[2]))
+        if isinstance(values.schema[0].dataType, (*TEXT, T.BinaryType, T.ArrayType, T.StructType)):
+            texts.append((place, values))
         else:
-            ruled_out.append((row["table_name"], row["ordinal"], row["column_name"], False))
+            exact.append(_exact_key(values, place))
+
+    repeats = [
+        _repeated_hashes(values).selectExpr(f"{number} AS number", "count(1) AS n")
+        for number, (_, values) in enumerate(texts)
+    ]
+    repeated = dict(reduce(DataFrame.unionAll, repeats).collect()) if repeats else {}
+    for number, (place, values) in enumerate(texts):
+        if repeated[number] == 0:
+            known.append((*place, True))
+            continue
+        hashes = _repeated_hashes(values)
+        if repeated[number] <= BROADCAST_ROWS:
+            hashes = F.broadcast(hashes)
+        hashed = values.withColumn("_hash", F.xxhash64(backtick(values.columns[0])))
+        exact.append(_exact_key(hashed.join(hashes, "_hash", "left_semi").drop("_hash"), place))
     schema = "table_name string, ordinal int, column_name string, is_key boolean"
-    return reduce(DataFrame.unionAll, [*exact, spark.createDataFrame(ruled_out, schema)])
-
-
-def _exact_key(df: DataFrame, row) -> DataFrame:
-    column = backtick(row["column_name"])
-    values, kind = df.select(column), df.schema[row["column_name"]].dataType
-    if isinstance(kind, (*TEXT, T.BinaryType, T.ArrayType, T.StructType)):
-        values = _with_repeated_hash(values, column)
-    repeats = values.groupBy(column).count()
-    return repeats.selectExpr(
-        f"{sql_string(row['table_name'])} AS table_name",
-        f"{row['ordinal']} AS ordinal",
-        f"{sql_string(row['column_name'])} AS column_name",
-        "coalesce(max(count), 1) = 1 AS is_key",
-    )
+    return reduce(DataFrame.unionAll, [*exact, spark.createDataFrame(known, schema)])
+
 
+def _repeated_hashes(values: DataFrame) -> DataFrame:
+    """Hashes that occur twice: those of all values that repeat, and nothing of a key but
+    rare collisions. Long values need comparing only where eight bytes do not tell."""
+    hashed = values.select(F.xxhash64(backtick(values.columns[0])).alias("_hash"))
+    return hashed.groupBy("_hash").count().where("count > 1").select("_hash")
 
-def _with_repeated_hash(values: DataFrame, column: str) -> DataFrame:
-    """The values whose hash occurs twice: all that repeat, and nothing of a key but for
-    rare collisions. Long values are thus compared only where eight bytes do not tell."""
-    hashed = values.withColumn("_hash", F.xxhash64(column))
-    repeated = hashed.groupBy("_hash").count().where("count > 1").select("_hash")
-    number = repeated.count()
-    if number == 0:
-        return values.where("false")
-    return hashed.join(
-        F.broadcast(repeated) if number <= BROADCAST_ROWS else repeated, "_hash", "left_semi"
+
+def _exact_key(values: DataFrame, place: tuple[str, int, str]) -> DataFrame:
+    table, ordinal, column = place
+    return values.groupBy(backtick(column)).count().selectExpr(
+        f"{sql_string(table)} AS table_name",
+        f"{ordinal} AS ordinal",
+        f"{sql_string(column)} AS column_name",
+        "coalesce(max(count), 1) = 1 AS is_key",
     )
 
 
