@@ -164,5 +164,5 @@ def rate_breach_stream(tables):
     stream = streams.read_stream(spark, _written_log(tables))
     folder = new_path(spark, "breaches")
     streams.write_breaches(streams.breaches(stream, 1, 60), folder).awaitTermination()
-    found = spark.read.parquet(folder)
-    return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    utc = F.to_utc_timestamp("window_start", F.current_timezone()).cast("timestamp_ntz")
+    return spark.read.parquet(folder).withColumn("window_start", utc)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_WITH_OFFSET = re.compile(r"[T ].*(Z|[+-]\d{1,2}(:?\d{2})?)$")
 _QUOTED_NAME = re.compile(r"'[^']*'|\"([^\"]+)\"")
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -120,3 +121,11 @@ def try_cast_to(value: Column, kind: T.DataType) -> Column:
         instant = F.to_utc_timestamp(value.try_cast("timestamp"), F.current_timezone())
         return instant.cast("timestamp_ntz")
     return value.try_cast(kind)
+
+
+def literal_as(text: str, kind: T.DataType) -> Column:
+    """A request's text as a literal of a column's type. Against a column without a zone,
+    a time without an offset is taken as it stands."""
+    if isinstance(kind, T.TimestampNTZType) and not _WITH_OFFSET.search(text):
+        return F.lit(text).try_cast(kind)
+    return try_cast_to(F.lit(text), kind)

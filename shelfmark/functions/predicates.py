@@ -14,8 +14,8 @@ from shelfmark.functions.columns import (
     column,
     column_name,
     column_type,
+    literal_as,
     sql_column,
-    try_cast_to,
 )
 from shelfmark.plans.request import Condition, PageRequest
 
@@ -51,7 +51,7 @@ def compare(df: DataFrame, condition: Condition) -> Column:
     target, kind = column(df, condition.column), column_type(df, condition.column)
     test = _COMPARE[condition.operator]
     if isinstance(condition.value, str):
-        return test(target, try_cast_to(F.lit(condition.value), kind))
+        return test(target, literal_as(condition.value, kind))
     if isinstance(kind, TEXT):
         return test(target.try_cast("double"), F.lit(float(condition.value)))
     return test(target, F.lit(condition.value))
@@ -76,7 +76,7 @@ def conjunction(df: DataFrame, conditions: tuple[Condition, ...]) -> Column | No
 
 def updated_since(df: DataFrame, reference: str, since: str) -> Column:
     """Changed at or after ``since``."""
-    return column(df, reference) >= try_cast_to(F.lit(since), column_type(df, reference))
+    return column(df, reference) >= literal_as(since, column_type(df, reference))
 
 
 def where(df: DataFrame, base_filter: str | None, *predicates: Column | None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.catalog import page_summary
-from shelfmark.functions.columns import TEXT, backtick
+from shelfmark.functions.columns import TEXT, backtick, literal_as
 from shelfmark.operators.ranking import cut_page
 from shelfmark.plans.request import LogRequest
 from shelfmark.sources.requestlog import DATE
@@ -23,7 +23,7 @@ def since(log: DataFrame, start: str | None) -> DataFrame:
     if not start:
         return log
     kind = log.schema["ts"].dataType
-    first = F.lit(start) if isinstance(kind, TEXT) else F.lit(start).try_cast(kind)
+    first = literal_as(start, kind)
     kept = log.where(F.col("ts").isNull() | (F.col("ts") >= first))
     if DATE in log.columns:
         kept = kept.where(F.col(DATE).isNull() | (F.col(DATE) >= start[:10]))

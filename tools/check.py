@@ -32,16 +32,15 @@ def rows_of(columns, rows):
     return Counter(tuple(canonical(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, folder: str, query) -> str:
-    """An empty text if both agree, else what differs."""
-    df = query.run(spark, folder)
+def differences(df, folder: str, sql: str | None) -> str:
+    """An empty text if a Spark result and the SQL agree, else what differs."""
     ours = rows_of(df.columns, df.collect())
-    if query.sql is None:
+    if sql is None:
         return "" if ours else "no rows"
     con = duckdb.connect()
     for table in TABLES:
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
-    result = con.execute(query.sql)
+    result = con.execute(sql)
     names = [d[0] for d in result.description]
     theirs = rows_of(names, result.fetchall())
     if sorted(names) != sorted(df.columns):
@@ -74,7 +73,7 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            problem = compare(spark, folder, query)
+            problem = differences(query.run(spark, folder), folder, query.sql)
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += bool(problem)
