@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import backtick, column_name, try_cast_to
 from shelfmark.functions.predicates import where
-from shelfmark.operators.relations import is_small, maybe_broadcast
+from shelfmark.operators.relations import ARRAY_ROWS, KEY, PARTS, is_small, join_groups
 from shelfmark.session import store
 
 if TYPE_CHECKING:
@@ -84,31 +84,29 @@ def misses(catalog: Catalog, ids: DataFrame) -> DataFrame:
 def lookup_entries(catalog: Catalog, requests: DataFrame, path: str) -> DataFrame:
     """One log entry per request: status and item count for the id it asked for.
 
-    ``requests`` has the columns ``ts, id, apiKey, ms, ip``. The answers are distinct ids
-    without item payload; they are broadcast while few, and past that an id that most
-    requests ask for is left to the skew join, which may split the requests' side.
+    ``requests`` has the columns ``ts, id, apiKey, ms, ip``. The answers hold no items.
+    They are broadcast while few; past that, those to the ids asked for most, found or
+    not, still are, so that no shuffle by id gathers their requests.
     """
-    asked = asked_ids(requests.select("id"))
+    keyed = requests.withColumn(KEY, F.coalesce(F.col("id").cast("string"), F.lit("")))
+    asked = asked_ids(keyed.select(KEY))
     found = found_rows(catalog, asked)
     name = column_name(found.schema, catalog.spec.id_column)
     keys = found.select(F.col(backtick(name)).alias("_id"))
-    hits = store(
-        asked.join(keys, _same_id(catalog, F.col("id"), "_id"), "left_semi").select(
-            F.col("id").alias("_hit")
-        ),
-        "hits",
+    answers = asked.join(keys, _same_id(catalog, F.col("id"), "_id"), "left").select(
+        F.col("id").alias(KEY),
+        F.ceil(F.col("requests") / ARRAY_ROWS).cast("int").alias(PARTS),
+        F.col("_id").isNotNull().alias("_hit"),
     )
-    text_id = F.col("id").cast("string")
-    joined = requests.join(maybe_broadcast(hits), text_id == F.col("_hit"), "left")
-    hit = F.col("_hit").isNotNull()
+    joined = join_groups(keyed, store(answers, "answers"))
     return joined.select(
         F.col("ts"),
         F.lit("GET").alias("method"),
-        F.concat(F.lit(path.rstrip("/") + "/"), text_id).alias("path"),
+        F.concat(F.lit(path.rstrip("/") + "/"), F.col(KEY)).alias("path"),
         F.create_map().cast("map<string,string>").alias("query"),
         F.coalesce(F.col("apiKey"), F.lit("unknown")).alias("apiKey"),
-        F.when(hit, FOUND).otherwise(NOT_FOUND).alias("status"),
-        F.when(hit, 1).otherwise(0).alias("items"),
+        F.when(F.col("_hit"), FOUND).otherwise(NOT_FOUND).alias("status"),
+        F.col("_hit").cast("int").alias("items"),
         F.col("ms").cast("bigint").alias("ms"),
         F.col("ip"),
     )

@@ -38,8 +38,8 @@ def field_mappings(columns: DataFrame) -> DataFrame:
     Several columns may have one target. ``rule`` and ``ordinal`` give the order of the
     suggestions, in which the last column of a target is the one a spec takes.
     """
-    mapped = columns.withColumn("mapping", names.mapping(_name(), _key())).where("mapping IS NOT NULL")
-    return mapped.select(
+    mapped = columns.withColumn("mapping", names.mapping(_name(), _key()))
+    return mapped.where("mapping IS NOT NULL").select(
         "table_name",
         "ordinal",
         "column_name",
@@ -68,7 +68,8 @@ def role_columns(columns: DataFrame) -> DataFrame:
 
 def searchable_columns(columns: DataFrame) -> DataFrame:
     """Text columns, keys apart, with a name worth searching."""
-    found = columns.where(~_key() & names.is_text(_type()) & names.matches(_name(), names.SEARCHABLE))
+    named = names.matches(_name(), names.SEARCHABLE)
+    found = columns.where(~_key() & names.is_text(_type()) & named)
     return found.select(
         "table_name", "ordinal", "column_name", F.lit("high").alias("confidence"),
         *_observed(columns),
@@ -85,7 +86,8 @@ def filterable_columns(columns: DataFrame, extra: DataFrame | None = None) -> Da
     if extra is not None:
         chosen = extra.select("table_name", "column_name", F.lit(True).alias("_extra")).distinct()
         mapped = mapped.join(chosen, ["table_name", "column_name"], "left")
-        mapped = mapped.withColumn("name", F.when(F.col("_extra"), _name()).otherwise(F.col("name")))
+        own_name = F.when(F.col("_extra"), _name()).otherwise(F.col("name"))
+        mapped = mapped.withColumn("name", own_name)
     usable = mapped.where(~_key() & ~names.is_plumbing(_name()) & F.col("name").isNotNull())
 
     def filters(*each: tuple[Column, str, str]) -> Column:

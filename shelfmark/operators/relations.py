@@ -73,16 +73,17 @@ def child_rows(relation: RelationSpec, source: DataFrame) -> DataFrame:
 
 def _bytes(value: str, kind: T.DataType) -> Column | None:
     """The text held by a child's value; None if it holds none."""
-    fields = kind.fields if isinstance(kind, T.StructType) else None
-    if fields is None:
-        texts = [F.col(value)] if isinstance(kind, (*TEXT, T.BinaryType)) else []
+    if isinstance(kind, T.StructType):
+        held = [(F.col(f"{value}.{backtick(f.name)}"), f.dataType) for f in kind.fields]
     else:
-        texts = [
-            F.col(f"{value}.{backtick(f.name)}")
-            for f in fields
-            if isinstance(f.dataType, (*TEXT, T.BinaryType))
-        ]
-    sizes = [F.coalesce(F.octet_length(t), F.lit(0)).cast("bigint") for t in texts]
+        held = [(F.col(value), kind)]
+    sizes = []
+    for column_, type_ in held:
+        if isinstance(type_, (T.ArrayType, T.MapType, T.StructType)):
+            column_ = F.to_json(column_)
+        elif not isinstance(type_, (*TEXT, T.BinaryType)):
+            continue
+        sizes.append(F.coalesce(F.octet_length(column_), F.lit(0)).cast("bigint"))
     return reduce(lambda a, b: a + b, sizes) if sizes else None
 
 
@@ -138,9 +139,10 @@ def _without(rows: DataFrame, large: DataFrame) -> DataFrame:
     return rows if others is None else rows.join(others, KEY, "left_anti")
 
 
-def _within(rows: DataFrame, large: DataFrame) -> DataFrame:
-    """Rows of large groups, with the number of parts of their group."""
-    largest, others = _tiers(large)
+def join_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with their group's columns: ``_key``, ``_parts`` (by which the largest groups
+    are told, and broadcast) and any other. Rows of no listed group are left out."""
+    largest, others = _tiers(groups)
     found = rows.join(largest, KEY)
     if others is None:
         return found
@@ -164,7 +166,7 @@ def _split_arrays(rows: DataFrame, large: DataFrame, array_rows: int) -> DataFra
         fitting = F.lit(ARRAY_BYTES // PIECES) / F.greatest(text, F.lit(1))
         piece = F.greatest(F.lit(1), F.least(piece, F.floor(fitting)))
     pieces = (
-        _within(rows, large)
+        join_groups(rows, large)
         .groupBy(KEY, PARTS, "value")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_size", piece.cast("bigint"))

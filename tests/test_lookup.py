@@ -44,17 +44,23 @@ def test_hits_and_misses_are_all_ids(catalog, ids):
     assert hits + missed.count() == ids.distinct().count()
 
 
-def test_log_entries(catalog, ids):
+@pytest.mark.parametrize("broadcast_rows", [0, 2, 1000])
+def test_log_entries(catalog, ids, monkeypatch, broadcast_rows):
+    """With room for two, only the answers to the ids asked for most are broadcast."""
+    monkeypatch.setattr(relations, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(lookup, "ARRAY_ROWS", 40)
+    ids = ids.unionAll(ids.sparkSession.createDataFrame([("gone",)] * 300, "id string"))
     requests = ids.select(
         F.lit("2026-01-01T00:00:00.000Z").alias("ts"), "id", F.lit(None).cast("string").alias("apiKey"),
         F.lit(5).alias("ms"), F.lit("::1").alias("ip"),
-    ).where("id IS NOT NULL")
+    )
     entries = lookup.lookup_entries(catalog, requests, "/items")
-    assert entries.count() == 505
+    assert entries.count() == 807
     found = entries.groupBy("path", "status", "items", "apiKey").count().collect()
     counted = {(r.path, r.status, r["items"]): r["count"] for r in found}
     assert counted == {
         ("/items/1", 200, 1): 500, ("/items/2", 200, 1): 1, ("/items/3", 404, 0): 1,
-        ("/items/999", 404, 0): 1, ("/items/zz", 404, 0): 1, ("/items/04", 200, 1): 1,
+        ("/items/999", 404, 0): 1, ("/items/zz", 404, 0): 1, ("/items/04", 200, 1): 1, ("/items/gone", 404, 0): 300,
+        ("/items/", 404, 0): 2,
     }
     assert {r.apiKey for r in found} == {"unknown"}
