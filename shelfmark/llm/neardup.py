@@ -114,19 +114,19 @@ def _signatures(width: int, batches):
             least = [samples(x) if len(x) else None for x in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column(0),
+                    rows["id"],
+                    rows["key"],
                     pa.array([fingerprint(x) for x in sets], pa.binary()),
                     pa.array([len(x) for x in sets], pa.int64()),
                     _lists([x if x is None else sketch_of(x) for x in least]),
                     _lists([x if x is None else bands_of(x) for x in least]),
                 ],
-                ["id", "node", "n_shingles", "sketch", "bands"],
+                ["id", "key", "node", "n_shingles", "sketch", "bands"],
             )
 
 
 def _confirmed(width: int, percent: int, batches):
     """Pairs of nodes whose texts are theirs and whose sets are as similar as asked."""
-    known: dict[bytes, np.ndarray] = {}
     for batch in batches:
         for at in range(0, batch.num_rows, 128):
             part = batch.slice(at, 128)
@@ -139,7 +139,6 @@ def _confirmed(width: int, percent: int, batches):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 same = 100 * both >= percent * (len(x) + len(y) - both)
                 keep.append(same and fingerprint(x) == a and fingerprint(y) == b)
-            known.clear()
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -147,7 +146,7 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, p
     """The pairs of nodes ``a`` and ``b`` that the full sets of their texts confirm."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     wanted = classes.select("node", "first_id").join(ends.distinct(), "node")
-    held = wanted.join(texts, wanted["first_id"].eqNullSafe(texts["id"])).select("node", "text")
+    held = wanted.join(texts.drop("key"), wanted["first_id"].eqNullSafe(texts["id"])).select("node", "text")
     held = store(held, "texts")
     left = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = held.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -180,12 +179,39 @@ def near_duplicates(
       apart by their texts. A null id is never the smallest; groups without any id have null.
     * Other columns of ``docs`` are not looked at. An empty table gives an empty result.
     """
-    texts = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    found = _judged(docs, id, text, width, percent)
+    return found.select(F.col("id").alias(id), "n_shingles", "component_id", "kept")
+
+
+def without_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with their columns; of rows that repeat an id
+    and a text one stays."""
+    found = store(_judged(docs, id, text, width, percent).select("id", "key", "kept"), "verdicts")
+    gone = found.where("not kept").select("id", "key")
+    repeated = found.where("kept").groupBy("id", "key").agg(F.count("*").alias("n")).where("n > 1").select("id", "key")
+    repeated = store(repeated, "repeated")
+    own = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+    def met(side: DataFrame):
+        return docs[id].eqNullSafe(side["id"]) & (own == side["key"])
+
+    kept = gone.unionByName(repeated)
+    kept = docs.join(kept, met(kept), "left_anti")
+    if repeated.isEmpty():
+        return kept
+    return kept.unionByName(docs.join(repeated, met(repeated), "left_semi").dropDuplicates([id, text]))
+
+
+def _judged(docs: DataFrame, id: str, text: str, width: int, percent: int) -> DataFrame:
+    value = F.col(text).cast("string")
+    texts = docs.select(F.col(id).alias("id"), F.md5(F.coalesce(value, F.lit(""))).alias("key"), value.alias("text"))
     kind = dict(texts.dtypes)["id"]
     signed = store(
         texts.mapInArrow(
             partial(_signatures, width),
-            f"id {kind}, node binary, n_shingles long, sketch array<long>, bands array<long>",
+            f"id {kind}, key string, node binary, n_shingles long, sketch array<long>, bands array<long>",
         ),
         "signatures",
     )
@@ -229,8 +255,8 @@ def near_duplicates(
     named = classes.select("node", "first_id").join(found, "node", "left")
     least = named.where("component is not null").groupBy("component").agg(F.min("first_id").alias("least"))
     named = named.join(least, "component", "left").select("node", F.coalesce("least", "first_id").alias("least"))
-    joined = signed.select("id", "node", "n_shingles").join(named, "node", "left")
+    joined = signed.select("id", "key", "node", "n_shingles").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least"))
     return joined.select(
-        F.col("id").alias(id), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
+        "id", "key", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )

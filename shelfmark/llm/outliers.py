@@ -125,14 +125,14 @@ def vectors(c: dict[str, np.ndarray]) -> np.ndarray:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _measured(batches):
+def _measured(whole: bool, batches):
     for batch in batches:
         for rows, data, bounds in T.pieces(batch, "text"):
             c = counts(data, bounds)
             values = [pa.array(c[name], pa.int64()) for name in COUNTS]
             values += [pa.array(x, pa.int64()) for x in vectors(c)]
-            kept = [rows.column(i) for i, name in enumerate(rows.schema.names) if name != "text"]
-            names = [name for name in rows.schema.names if name != "text"]
+            names = [name for name in rows.schema.names if name != "text" or whole]
+            kept = [rows[name] for name in names]
             yield pa.RecordBatch.from_arrays(kept + values, [*names, *COUNTS, *NAMES])
 
 
@@ -239,29 +239,45 @@ def _pools(rows: DataFrame) -> DataFrame:
     return groups.select("lang_key", "source_key", pool.alias("pool"))
 
 
+def _key(column: str):
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+
+
+def _rows(docs: DataFrame, keep: list[str], text: str, lang: str, source: str) -> DataFrame:
+    """Counts and vector of each row, with the columns in ``keep`` as c0, c1 and so on."""
+    whole = text in keep
+    carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep) if c != text]
+    rows = docs.select(*carried, F.col(text).cast("string").alias("text"), _key(lang).alias("lang_key"), _key(source).alias("source_key"))
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text" or whole]
+    fields += [f"{name} long" for name in (*COUNTS, *NAMES)]
+    rows = rows.mapInArrow(partial(_measured, whole), ", ".join(fields))
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+    return rows.withColumn("base_failed", failed)
+
+
 def quality(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source"
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    source: str = "source",
+    keep: list[str] | None = None,
+    name: str = "quality",
 ) -> DataFrame:
-    """One row for each row of ``docs``: its id, the counts, ``base_failed``, ``distance`` and ``kept``.
+    """The rows of ``docs`` (the columns in ``keep``, or all) with one further column, a struct of the counts,
+    ``base_failed``, ``distance`` and ``kept``.
 
     * ``base_failed``: fewer than 20 words, or over 30 % of them in repeated windows of eight.
     * ``distance``: squared distance from the pool's estimate; null if the base failed, or if even the
       rest pool has fewer than ``LEAST_GROUP`` rows, where nothing more is asked.
     * A null or empty text has no words and fails. Null languages and sources are groups of
       their own. Equal rows get equal verdicts; an empty table gives an empty result.
-    * Other columns of ``docs`` are not looked at.
+    * Columns of any name pass unchanged; one called ``name`` is replaced.
     """
-    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
-    rows = docs.select(
-        F.col(id).alias("id"), F.col(text).cast("string").alias("text"), key(lang).alias("lang_key"), key(source).alias("source_key")
-    )
-    names = ", ".join(f"{name} long" for name in (*COUNTS, *NAMES))
-    kind = dict(rows.dtypes)["id"]
-    rows = rows.mapInArrow(_measured, f"id {kind}, lang_key string, source_key string, {names}")
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    rows = store(rows.withColumn("base_failed", failed), "statistics")
+    keep = [c for c in (keep or docs.columns) if c != name]
+    narrow = text not in keep
+    rows = store(_rows(docs, keep if narrow else [], text, lang, source), "statistics")
 
-    sound = rows.where("not base_failed")
+    sound = rows.where("not base_failed").select("lang_key", "source_key", *NAMES)
     pools = _pools(sound)
     sound = sound.join(pools, ["lang_key", "source_key"])
     size = sound.groupBy("pool").agg(F.count("*").alias("size"))
@@ -288,8 +304,12 @@ def quality(
         estimate = store(near.mapInPandas(_concentrated, _SCHEMA), "estimate")
 
     judged = pools.join(estimate, "pool").join(size.where(F.col("size") >= LEAST_GROUP), "pool")
+    if not narrow:  # texts are measured again, which costs less than to join them to their counts
+        rows = _rows(docs, keep, text, lang, source)
     out = rows.join(judged, ["lang_key", "source_key"], "left")
     out = out.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     steady = F.least(F.lit(1.0), F.col("n_words") / STEADY_WORDS)
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance") * steady, F.lit(0.0)) <= LIMIT)
-    return out.select(F.col("id").alias(id), *COUNTS, "base_failed", kept.alias("kept"), "distance")
+    result = F.struct(*COUNTS, "base_failed", kept.alias("kept"), "distance").alias(name)
+    columns = [F.col("text" if c == text else f"c{i}").alias(c) for i, c in enumerate(keep)]
+    return out.select(*columns, result)
