@@ -226,7 +226,8 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int
     names = store(names, "names")
     whole = found.join(names.where("n > 1").select("entry", "name"), ["entry", "name"]).select("key", "first", "last").distinct()
 
-    entries = names.groupBy("entry").agg(F.count("*").alias("names")).where("names > 1")
+    # Written, so that both sides of the joins below are plain exchanges, whose large keys are split.
+    entries = store(names.groupBy("entry").agg(F.count("*").alias("names")).where("names > 1"), "entries")
     pool = names.join(entries, "entry").select(
         "place.key", F.struct("entry", "place.first", "place.last", (F.col("n") > 1).alias("settled"), "names").alias("each")
     )
