@@ -224,6 +224,14 @@ def incremental_extract(tables):
     return changed_since(tables.orders, ALL_ORDERS, "2001-07-01T00:00:00Z").mark
 
 
+@BOOK.add("""
+    SELECT TIMESTAMP '2101-01-01 00:00:00' AS high_water, count(*) AS n FROM orders
+    WHERE o_orderdate >= TIMESTAMP '2101-01-01 00:00:00'""")
+def incremental_extract_nothing_new(tables):
+    """Where nothing has changed the mark stays."""
+    return changed_since(tables.orders, ALL_ORDERS, "2101-01-01T00:00:00Z").mark
+
+
 @BOOK.add("""
     WITH mark AS (SELECT max(o_orderdate) AS since FROM orders WHERE o_orderstatus = 'P'
                   AND o_orderdate < TIMESTAMP '2001-06-15 00:00:00')

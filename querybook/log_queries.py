@@ -100,13 +100,17 @@ def log_since(tables):
 
 
 @BOOK.add("""
-    SELECT CASE WHEN event_type = 'error' THEN 'malformed' ELSE 'entry' END AS kind,
+    SELECT CASE WHEN event_type = 'error' OR user_id % 7 = 0 THEN 'malformed' ELSE 'entry' END AS kind,
            CAST(strftime(ts, '%Y-%m-%d') AS VARCHAR) AS day, count(*) AS n
     FROM events GROUP BY 1, 2""")
 def log_quarantine(tables):
-    """Lines cut short are kept apart from the entries, and none is lost."""
+    """Lines cut short or with a query that is no object are kept apart from the entries, empty records and
+    records of unknown fields are entries, and none is lost."""
     line = F.to_json(F.struct("*"))
+    user = F.col("ip").cast("long")
     cut = F.when(F.col("path").contains("/error/"), F.expr("substring(line, 1, length(line) - 9)"))
+    cut = cut.when(user % 7 == 0, F.lit('{"ts": "2026-01-01T00:00:00.000Z", "query": "text"}'))
+    cut = cut.when(user % 7 == 1, F.lit("{}")).when(user % 7 == 2, F.lit('{"user": "x"}'))
     lines = _log(tables).withColumn("line", line)
     lines = lines.select(F.coalesce(cut, "line").alias("value"), requestlog.log_date(F.col("ts")).alias("log_date"))
     folder = new_path(tables.spark, "dirty-log")

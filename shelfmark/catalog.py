@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from shelfmark.functions.columns import backtick, column_name, literal_text
 from shelfmark.functions.predicates import compare, select_rows, where
@@ -94,14 +96,22 @@ class Catalog:
         rows = self.page_rows(request or self.request())
         return self._local_items(rows) if self.relations else self.items_of(rows)
 
+    @staticmethod
+    def _sortable(rows: DataFrame) -> list:
+        """All columns as a sort order; maps, which have none, by their JSON."""
+        return [
+            F.to_json(F.struct(backtick(f.name))) if "map<" in f.dataType.simpleString() else F.col(backtick(f.name))
+            for f in rows.schema
+        ]
+
     def item(self, id: str) -> DataFrame:
         """The item with an id, no row if there is none or the base filter hides it."""
         same = compare(self.main, Condition(self.spec.id_column, "=", id))
         rows = where(self.main, self.spec.base_filter, same).select(*self._quoted(self.columns))
-        return self._local_items(rows.orderBy(*self._quoted(self.columns)).limit(1))
+        return self._local_items(rows.orderBy(*self._sortable(rows)).limit(1))
 
     def _local_items(self, rows: DataFrame) -> DataFrame:
-        """Items of a bounded number of rows, each relation cut to their children."""
+        """Items of a bounded number of rows, in their order, each relation cut to their children."""
         page = rows.toArrow()
         cut = {}
         for name, relation in self.relations.items():
@@ -109,7 +119,13 @@ class Catalog:
             keys = {key for key in page.column(reference).to_pylist() if key is not None}
             kind = rows.schema[reference].dataType
             cut[name] = children_of_page(relation, self._child(name), sorted(keys), kind)
-        return self.items_of(self.spark.createDataFrame(page, rows.schema), cut)
+        place = "position"
+        while place in rows.columns:
+            place += "_"
+        page = page.append_column(place, pa.array(range(page.num_rows), pa.int32()))
+        local = self.spark.createDataFrame(page, StructType([*rows.schema, StructField(place, IntegerType())]))
+        items = self.items_of(local, cut, keep={place: place})
+        return items.orderBy(place, "part").drop(place)
 
     @staticmethod
     def _quoted(columns: list[str]) -> list[str]:
@@ -137,6 +153,8 @@ class Catalog:
         """Every matching row with its rank and the page it is on."""
         request = request or self.request()
         rows, order = self._ordered(request)
+        if clash := {"rank", "page"} & {c.lower() for c in rows.columns}:
+            raise ValueError(f"the rows have columns called {sorted(clash)} already")
         page = F.expr(f"(rank - 1) div {request.page_size} + 1").cast("bigint")
         return rank_rows(rows, order).withColumn("page", page)
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from shelfmark.functions.columns import (
     TEXT,
@@ -54,6 +56,8 @@ def compare(df: DataFrame, condition: Condition) -> Column:
         return test(target, literal_as(condition.value, kind))
     if isinstance(kind, TEXT):
         return test(target.try_cast("double"), F.lit(float(condition.value)))
+    if isinstance(condition.value, Decimal) and not isinstance(kind, DecimalType):
+        return test(target, F.lit(float(condition.value)))
     return test(target, F.lit(condition.value))
 
 

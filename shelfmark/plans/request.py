@@ -32,16 +32,17 @@ def page_size(text: str | int | None, default: int = DEFAULT_PAGE_SIZE) -> int:
     return min(MAX_PAGE_SIZE, max(1, _whole(text, default)))
 
 
-def number(text: str | int | float) -> int | float:
-    """A filter value as a number: an int where it is whole, so that an int column
-    is compared with an int literal and the predicate reaches the scan."""
+def number(text: str | int | float) -> int | float | Decimal:
+    """A filter value as a number: an int where it is whole, else exact where a decimal column can hold
+    it, so that the column is compared with a literal of its type and the predicate reaches the scan."""
     stripped = str(text).strip()
     if not _NUMBER.fullmatch(stripped):
         raise ValueError(f"'{text}' is not a number")
     exact = Decimal(stripped)
     if exact == exact.to_integral_value() and abs(exact) < 2**63:
         return int(exact)
-    return float(exact)
+    digits = exact.as_tuple()
+    return exact if digits.exponent >= -38 and len(digits.digits) <= 38 and exact.adjusted() < 20 else float(exact)
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,7 @@ class Condition:
 
     column: str
     operator: str
-    value: str | int | float
+    value: str | int | float | Decimal
 
 
 @dataclass(frozen=True)
@@ -64,6 +65,10 @@ class PageRequest:
     sort_by: str = ""
     ascending: bool = False
 
+    def __post_init__(self):
+        object.__setattr__(self, "page", max(1, self.page))
+        object.__setattr__(self, "page_size", min(MAX_PAGE_SIZE, max(1, self.page_size)))
+
     @property
     def offset(self) -> int:
         return (self.page - 1) * self.page_size

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The keys of a page go into a scan as values, not as their least and greatest only.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "100",
     # Windows of many clients outgrow executor memory; this store spills to disk.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

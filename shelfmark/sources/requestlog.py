@@ -23,6 +23,8 @@ ENTRY_SCHEMA = T.StructType(
 ENTRY_COLUMNS = ENTRY_SCHEMA.fieldNames()
 DATE = "log_date"
 CORRUPT = "_corrupt"
+#: The text of a line as it stands in the log.
+LINE = "_line"
 
 # Numbers are read as text and cast, so that a line with an odd number is still an entry.
 RAW_SCHEMA = T.StructType(
@@ -40,14 +42,21 @@ def log_date(ts: Column) -> Column:
 
 
 def read_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """Every line of a log folder, parsed where it is JSON. No folder is an empty log."""
-    reader = spark.read.schema(RAW_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT)
+    """Every line of a log folder that is not blank, with its text, parsed where it is JSON.
+    No folder is an empty log."""
     try:
-        return reader.json(folder)
+        lines = spark.read.text(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], RAW_SCHEMA)
+        lines = spark.createDataFrame([], "value string")
+    date = F.col(DATE).cast("string") if DATE in lines.columns else F.lit(None).cast("string")
+    fields = T.StructType([f for f in RAW_SCHEMA if f.name != DATE])
+    parsed = F.from_json("value", fields, {"columnNameOfCorruptRecord": CORRUPT})
+    lines = lines.where(F.trim("value") != "")
+    return lines.select(F.col("value").alias(LINE), parsed.alias("parsed"), date.alias(DATE)).select(
+        LINE, "parsed.*", DATE
+    )
 
 
 def _nothing_read() -> Column:
@@ -57,21 +66,26 @@ def _nothing_read() -> Column:
     return empty
 
 
+def _is_entry(raw: DataFrame) -> Column:
+    """Whether a line is one JSON record, whatever its fields. Without the text of the line, in a
+    stream, a record without any known field can't be told from ``null`` and is none."""
+    if LINE not in raw.columns:
+        return F.col(CORRUPT).isNull() & ~_nothing_read()
+    return F.col(CORRUPT).isNull() & F.ltrim(LINE).startswith("{")
+
+
 def entries(raw: DataFrame) -> DataFrame:
-    """The well-formed entries of raw lines, typed; ``quarantine`` has the other lines.
+    """The well-formed entries of raw lines, typed; ``quarantine`` has all other lines.
 
     ``log_date`` is the folder an entry was read from, null in a folder without dates.
     """
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ENTRY_SCHEMA]
-    kept = raw.where(F.col(CORRUPT).isNull() & ~_nothing_read())
-    return kept.select(*typed, DATE)
+    return raw.where(_is_entry(raw)).select(*typed, DATE)
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
-    """The malformed lines and their ``log_date``. The test names a parsed column too, as
-    Spark refuses a query that asks for the corrupt-record column alone."""
-    broken = raw.where(F.col(CORRUPT).isNotNull() & F.coalesce(CORRUPT, "ts").isNotNull())
-    return broken.select(F.col(CORRUPT).alias("line"), DATE)
+    """The malformed lines, as they stand, and their ``log_date``: every line that is no entry."""
+    return raw.where(~_is_entry(raw)).select(F.col(LINE).alias("line"), DATE)
 
 
 def read_log(spark: SparkSession, folder: str) -> DataFrame:

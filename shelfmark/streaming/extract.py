@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.columns import backtick, column_name
+from shelfmark.functions.columns import backtick, column_name, literal_as
 from shelfmark.functions.predicates import select_rows, updated_since
 from shelfmark.plans.request import PageRequest
 from shelfmark.plans.spec import ResourceSpec
@@ -15,7 +15,8 @@ from shelfmark.plans.spec import ResourceSpec
 
 @dataclass(frozen=True)
 class Extract:
-    """Changed rows and, as one row of ``high_water, n``, the next pull's start."""
+    """Changed rows and, as one row of ``high_water, n``, the next pull's start: the given mark
+    where nothing has changed."""
 
     rows: DataFrame
     mark: DataFrame
@@ -30,6 +31,8 @@ def changed_since(
     (the rows pulled before) holds with the same id and time are left out. Only its rows at
     the mark take part, joined by id, however many share one time.
     """
+    if not high_water:
+        raise ValueError("an extract needs the mark to start from")
     if not spec.updated_at_column:
         raise ValueError(f"'{spec.table}' has no updated-at column to extract by")
     rows = select_rows(main, spec, PageRequest(updated_since=high_water))
@@ -39,7 +42,8 @@ def changed_since(
         pulled = previous.where(updated_since(previous, time, high_water))
         pulled = pulled.select(backtick(key), backtick(time))
         rows = rows.join(pulled, [key, time], "left_anti")
+    given = literal_as(high_water, main.schema[time].dataType)
     mark = rows.agg(
-        F.max(backtick(time)).alias("high_water"), F.count(F.lit(1)).alias("n")
+        F.coalesce(F.max(backtick(time)), given).alias("high_water"), F.count(F.lit(1)).alias("n")
     )
     return Extract(rows, mark)

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 
 from shelfmark import FilterSpec, LogRequest, PageRequest, RelationSpec, ResourceSpec
@@ -67,7 +69,7 @@ def test_a_filter_that_is_no_number_is_refused():
 
 
 @pytest.mark.parametrize(
-    "text, value", [("7", 7), ("7.0", 7), ("7.5", 7.5), ("1e3", 1000), (" -2 ", -2), (".5", 0.5)]
+    "text, value", [("7", 7), ("7.0", 7), ("7.5", Decimal("7.5")), ("1e3", 1000), (" -2 ", -2), (".5", Decimal(".5"))]
 )
 def test_numbers(text, value):
     assert number(text) == value and type(number(text)) is type(value)
@@ -144,3 +146,8 @@ def test_spec_from_dict():
 def test_bad_specs_are_refused(change):
     with pytest.raises(ValueError):
         ResourceSpec.from_dict(RAW | change)
+
+
+def test_pages_are_clamped_however_they_are_made():
+    request = PageRequest(page=-3, page_size=10**6)
+    assert (request.page, request.page_size) == (1, 100)
