@@ -13,6 +13,7 @@ lines of the others are shuffled with their tokens, each distinct one once.
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import partial
 
 import numpy as np
@@ -30,6 +31,7 @@ LEAST_TOKENS, LEAST_DOCUMENTS = 3, 10
 #: Leaves that are sent to every task; with more, their lines are joined by a shuffle.
 SENT_LEAVES = 1_000_000
 VARIABLE = b"<*>"
+_DIGIT = re.compile(rb"[0-9]").search
 
 
 def _hash(parts: list[bytes]) -> int:
@@ -41,7 +43,8 @@ def parsed(line: bytes) -> tuple[int, int, list[bytes]] | None:
     tokens = line.split()
     if len(tokens) < LEAST_TOKENS:
         return None
-    tokens = [VARIABLE if any(48 <= b <= 57 for b in token) else token for token in tokens]
+    if _DIGIT(line):
+        tokens = [VARIABLE if _DIGIT(token) else token for token in tokens]
     return _hash([b"%d" % len(tokens), *tokens[:DEPTH]]), _hash(tokens), tokens
 
 
