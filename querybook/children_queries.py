@@ -119,16 +119,37 @@ def items_updated_since(tables):
 
 @BOOK.add("""
     SELECT o_orderkey, count(l_orderkey) AS n_children,
-           coalesce(sum(l_linenumber), 0)::BIGINT AS line_sum
+           coalesce(string_agg(l_linenumber || l_returnflag, '|' ORDER BY l_linenumber, l_returnflag), '') AS lines
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def children_split_parts(tables):
-    """Groups of more than four children go into parts; together these hold every child."""
-    relation = RelationSpec("lineitem", "l_orderkey", {"line": "l_linenumber"})
+    """Groups of more than four children go into parts; joined in order these are the sorted array."""
+    relation = RelationSpec("lineitem", "l_orderkey", {"line": "l_linenumber", "flag": "l_returnflag"})
     spec = replace(ALL_ORDERS, relations={"lines": relation})
     split = catalog(spec, tables)
     split.array_rows = 4
-    lines = F.col("attributes.lines")
-    total = F.aggregate(lines, F.lit(0), lambda sum_, line: sum_ + line["line"])
+    parts = F.sort_array(F.collect_list(F.struct("part", "attributes.lines")))
+    joined = F.flatten(F.transform(parts, lambda part: part["lines"]))
+    lines = F.transform(joined, lambda line: F.concat(line["line"], line["flag"]))
     return split.items().groupBy(F.col("externalId").cast("bigint").alias("o_orderkey")).agg(
-        F.sum(F.size(lines)).alias("n_children"), F.sum(total).alias("line_sum")
+        F.size(joined).cast("bigint").alias("n_children"), F.array_join(lines, "|").alias("lines")
     )
+
+
+@BOOK.add("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS external_id, l_quantity AS quantity
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+    WHERE o_orderstatus = 'P' AND (l_returnflag = 'R' OR l_returnflag = 'A')""")
+def children_rows(tables):
+    """Children as rows, whose form no group's size changes."""
+    spec = replace(ALL_ORDERS, relations={"lines": FILTERED_LINES}, base_filter="o_orderstatus = 'P'")
+    rows = catalog(spec, tables).child_rows("lines")
+    return rows.select(F.col("externalId").alias("external_id"), "child.quantity")
+
+
+@BOOK.add(f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS external_id, {FLAGS_SQL} FROM orders WHERE o_orderstatus = 'P'""")
+def items_base_filtered(tables):
+    """Only children of items that the base filter shows are grouped."""
+    spec = replace(ALL_ORDERS, relations={"flags": LINE_FLAGS}, base_filter="o_orderstatus = 'P'")
+    items = catalog(spec, tables).items()
+    return items.select(F.col("externalId").alias("external_id"), _joined("attributes.flags").alias("flags"))

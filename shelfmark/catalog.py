@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from shelfmark.functions.columns import backtick, column_name, literal_text
+from shelfmark.functions.columns import as_text, backtick, column, column_name, column_type, literal_text
 from shelfmark.functions.predicates import compare, select_rows, where
 from shelfmark.operators import lookup as lookups
 from shelfmark.operators.items import item_columns, item_json
-from shelfmark.operators.ranking import cut_page, order_by, rank_rows
+from shelfmark.operators.ranking import cut_page, order_by, rank_rows, sortable
 from shelfmark.operators.relations import (
     ARRAY_ROWS,
     PART,
     PARTS,
+    children_of,
     children_of_page,
     with_children,
 )
@@ -96,19 +97,11 @@ class Catalog:
         rows = self.page_rows(request or self.request())
         return self._local_items(rows) if self.relations else self.items_of(rows)
 
-    @staticmethod
-    def _sortable(rows: DataFrame) -> list:
-        """All columns as a sort order; maps, which have none, by their JSON."""
-        return [
-            F.to_json(F.struct(backtick(f.name))) if "map<" in f.dataType.simpleString() else F.col(backtick(f.name))
-            for f in rows.schema
-        ]
-
     def item(self, id: str) -> DataFrame:
         """The item with an id, no row if there is none or the base filter hides it."""
         same = compare(self.main, Condition(self.spec.id_column, "=", id))
         rows = where(self.main, self.spec.base_filter, same).select(*self._quoted(self.columns))
-        return self._local_items(rows.orderBy(*self._sortable(rows)).limit(1))
+        return self._local_items(rows.orderBy(*sortable(rows)).limit(1))
 
     def _local_items(self, rows: DataFrame) -> DataFrame:
         """Items of a bounded number of rows, in their order, each relation cut to their children."""
@@ -139,16 +132,26 @@ class Catalog:
     def items(self, request: PageRequest | None = None) -> DataFrame:
         """Every matching item with its children, unpaged and unsorted.
 
-        The rows of a request with conditions are kept in the shared folder, and only
-        their children are grouped.
+        The rows of a request with conditions, or of a catalog with a base filter, are kept in the
+        shared folder, and only their children are grouped.
         """
         request = request or self.request()
         rows = self.rows(request).select(*self._quoted(self.columns))
-        if not self.relations or not (request.conditions or request.updated_since):
+        if not self.relations or not (self.spec.base_filter or request.conditions or request.updated_since):
             return self.items_of(rows)
         rows = store(rows, "narrowed")
         return self.items_of(rows, narrowed=True)
 
+    def child_rows(self, relation: str, request: PageRequest | None = None) -> DataFrame:
+        """The children of every matching item as rows: ``externalId`` and ``child``, one row each.
+
+        Holds what the arrays of ``items`` hold together, in a form that no group's size changes.
+        """
+        rows = self.rows(request)
+        id_column, found = self.spec.id_column, self.spec.relations[relation]
+        identity = F.coalesce(as_text(column(rows, id_column), column_type(rows, id_column)), F.lit(""))
+        return children_of(rows, found, self._child(relation), id_column, identity)
+
     def all_pages(self, request: PageRequest | None = None) -> DataFrame:
         """Every matching row with its rank and the page it is on."""
         request = request or self.request()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +42,20 @@ def summary(log: DataFrame, request: LogRequest) -> DataFrame:
     return page_summary(since(log, request.since), request.page, request.page_size)
 
 
+def _in_utc(now: str) -> str:
+    """A time with an offset as the same moment's time without one."""
+    try:
+        time = datetime.fromisoformat(now)
+    except ValueError:
+        return now
+    return time.astimezone(UTC).replace(tzinfo=None).isoformat() if time.tzinfo else now
+
+
 def retained(log: DataFrame, now: str, days: int = RETENTION_DAYS) -> DataFrame:
     """Entries not older than ``days`` at ``now``; those without a time stay, as their
     age is unknown. Write the result to a new folder, never over the log being read."""
     kind = log.schema["ts"].dataType
-    cutoff = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
+    cutoff = F.lit(_in_utc(now)).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
     if not isinstance(kind, TEXT):
         return log.where(F.col("ts").isNull() | (F.col("ts") >= cutoff.cast(kind)))
     text = F.date_format(cutoff, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import backtick, column_name, try_cast_to
 from shelfmark.functions.predicates import where
+from shelfmark.operators.ranking import sortable
 from shelfmark.operators.relations import ARRAY_ROWS, KEY, PARTS, is_small, join_groups
 from shelfmark.session import store
 
@@ -30,8 +31,8 @@ def found_rows(catalog: Catalog, asked: DataFrame) -> DataFrame:
     """One main row for each asked id that passes the base filter: the least of them,
     where several have one id, by an aggregate that combines before its shuffle.
 
-    Few asked ids are broadcast, so that only their rows are shuffled. Else the shuffle
-    that brings together the rows of an id also serves the join with the asked ones.
+    Rows are cut to the asked ids before they are combined: few ids are broadcast, so that
+    only their rows are shuffled; else the shuffle of that join also serves the combine.
     """
     spec, main = catalog.spec, catalog.main
     name = column_name(main.schema, spec.id_column)
@@ -39,21 +40,23 @@ def found_rows(catalog: Catalog, asked: DataFrame) -> DataFrame:
     typed = try_cast_to(F.col("id"), kind).alias(name)
     keys = asked.select(typed).where(F.col(backtick(name)).isNotNull())
     rows = where(main, spec.base_filter).select(*(backtick(c) for c in catalog.columns))
-    few = is_small(keys)
-    if few:
-        rows = rows.join(F.broadcast(keys), name, "left_semi")
+    rows = rows.join(F.broadcast(keys) if is_small(keys) else keys, name, "left_semi")
     others = [c for c in catalog.columns if c != name]
     if others:
-        least = F.min(F.struct(*(backtick(c) for c in others))).alias("_row")
-        rows = rows.groupBy(backtick(name)).agg(least).select(backtick(name), "_row.*")
-    else:
-        rows = rows.distinct()
-    return rows if few else rows.join(keys, name, "left_semi")
+        row = F.struct(*(backtick(c) for c in others))
+        mapped = any("map<" in rows.schema[c].dataType.simpleString() for c in others)
+        least = F.min_by(row, F.struct(*sortable(rows.select(*map(backtick, others))))) if mapped else F.min(row)
+        return rows.groupBy(backtick(name)).agg(least.alias("_row")).select(backtick(name), "_row.*")
+    return rows.distinct()
 
 
-def _same_id(catalog: Catalog, asked_id: Column, item_key: str) -> Column:
+def _answered(catalog: Catalog, asked: DataFrame, keys: DataFrame, how: str = "left") -> DataFrame:
+    """Asked ids joined to ``keys`` by ``_id``. Ids that can't be one stay out of the join, where
+    all of them would be one null key, and are answered with nothing."""
     kind = catalog.main.schema[column_name(catalog.main.schema, catalog.spec.id_column)].dataType
-    return try_cast_to(asked_id, kind) == F.col(item_key)
+    cast = try_cast_to(F.col("id"), kind)
+    joined = asked.where(cast.isNotNull()).join(keys, cast == F.col("_id"), how)
+    return joined.unionByName(asked.where(cast.isNull()), allowMissingColumns=True)
 
 
 def lookup(catalog: Catalog, ids: DataFrame) -> DataFrame:
@@ -67,7 +70,7 @@ def lookup(catalog: Catalog, ids: DataFrame) -> DataFrame:
     if catalog.relations:
         found = store(found, "found")
     items = catalog.items_of(found, keep={"_id": name}, narrowed=True)
-    answers = asked.join(items, _same_id(catalog, F.col("id"), "_id"), "left")
+    answers = _answered(catalog, asked, items)
     status = F.when(F.col("_id").isNull(), NOT_FOUND).otherwise(FOUND)
     return answers.withColumn("status_code", status).drop("_id")
 
@@ -78,7 +81,7 @@ def misses(catalog: Catalog, ids: DataFrame) -> DataFrame:
     found = found_rows(catalog, asked)
     name = column_name(found.schema, catalog.spec.id_column)
     keys = found.select(F.col(backtick(name)).alias("_id"))
-    return asked.join(keys, _same_id(catalog, F.col("id"), "_id"), "left_anti")
+    return _answered(catalog, asked, keys, "left_anti")
 
 
 def lookup_entries(catalog: Catalog, requests: DataFrame, path: str) -> DataFrame:
@@ -93,7 +96,7 @@ def lookup_entries(catalog: Catalog, requests: DataFrame, path: str) -> DataFram
     found = found_rows(catalog, asked)
     name = column_name(found.schema, catalog.spec.id_column)
     keys = found.select(F.col(backtick(name)).alias("_id"))
-    answers = asked.join(keys, _same_id(catalog, F.col("id"), "_id"), "left").select(
+    answers = _answered(catalog, asked, keys).select(
         F.col("id").alias(KEY),
         F.ceil(F.col("requests") / ARRAY_ROWS).cast("int").alias(PARTS),
         F.col("_id").isNotNull().alias("_hit"),

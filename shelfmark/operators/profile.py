@@ -7,7 +7,7 @@ from collections import defaultdict
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +16,10 @@ from shelfmark.operators.relations import BROADCAST_ROWS
 from shelfmark.session import store
 from shelfmark.sources.metadata import Metadata, row_counts, table_columns
 
-# A column is checked exactly if its estimated distinct count is above this share of its
-# rows: ten standard errors (5 % each) below what a key would give.
-KEY_SHARE = 0.5
+# One value in so many, by hash, is looked at before a column is counted whole. All copies of a
+# value are among them or none, so one repeat there proves that the column is no key.
+RESIDUE = 1024
+_PLACE = "table_name string, ordinal int, column_name string"
 
 
 def column_profile(tables: Mapping[str, DataFrame], distinct: bool = True) -> DataFrame:
@@ -61,52 +62,95 @@ def profiled_columns(
 def candidate_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     """For every column, whether it has no nulls and no value twice.
 
-    The profile (as long as the schemas are wide) rules most columns out; the others are
-    counted exactly, each with a shuffle of that one column or, for texts, of its hash.
+    A null or a repeat among few values, those of a hash residue and the one with the greatest
+    hash (which finds columns with few values), disproves most columns, in two passes over the
+    tables that shuffle next to nothing. No estimate decides: what is left is counted exactly,
+    each with a shuffle of that one column or, for long values, of its hash.
     """
     spark = next(iter(tables.values())).sparkSession
+    filled = reduce(DataFrame.unionAll, [_filled(name, df) for name, df in tables.items()]).collect()
+    greatest = {(r["table_name"], r["ordinal"]): r["greatest"] for r in filled if r["filled"] == r["row_count"]}
+    tried = [_residue_repeats(name, df, greatest) for name, df in tables.items()]
+    disproved = {tuple(r) for r in reduce(DataFrame.unionAll, tried).collect()}
     known, exact, texts = [], [], []
-    for row in column_profile(tables).collect():
-        place = (row["table_name"], row["ordinal"], row["column_name"])
-        estimate, rows = row["approx_distinct"], row["row_count"]
-        possible = estimate is not None and row["filled"] == rows
-        if not possible or estimate < KEY_SHARE * rows:
-            known.append((*place, False))
-            continue
-        values = tables[place[0]].select(backtick(place[2]))
-        if isinstance(values.schema[0].dataType, (*TEXT, T.BinaryType, T.ArrayType, T.StructType)):
-            texts.append((place, values))
-        else:
-            exact.append(_exact_key(values, place))
-
-    repeats = [
-        _repeated_hashes(values).selectExpr(f"{number} AS number", "count(1) AS n")
-        for number, (_, values) in enumerate(texts)
-    ]
-    repeated = dict(reduce(DataFrame.unionAll, repeats).collect()) if repeats else {}
+    for name, df in tables.items():
+        for ordinal, f in enumerate(df.schema, start=1):
+            place = (name, ordinal, f.name)
+            if (name, ordinal) not in greatest or (name, ordinal) in disproved:
+                known.append((*place, False))
+                continue
+            values = df.select(_comparable(f).alias("value"))
+            long = (*TEXT, T.BinaryType, T.ArrayType, T.StructType, T.MapType, T.VariantType)
+            if isinstance(f.dataType, long):
+                texts.append((place, values))
+            else:
+                exact.append(_exact_key(values, place))
+
+    repeated = {}
+    if texts:
+        hashes = [_repeated_hashes(v).withColumn("number", F.lit(i)) for i, (_, v) in enumerate(texts)]
+        hashes = store(reduce(DataFrame.unionAll, hashes), "repeated-hashes")
+        repeated = dict(hashes.groupBy("number").count().collect())
     for number, (place, values) in enumerate(texts):
-        if repeated[number] == 0:
+        if number not in repeated:
             known.append((*place, True))
             continue
-        hashes = _repeated_hashes(values)
+        own = hashes.where(F.col("number") == number).select("_hash")
         if repeated[number] <= BROADCAST_ROWS:
-            hashes = F.broadcast(hashes)
-        hashed = values.withColumn("_hash", F.xxhash64(backtick(values.columns[0])))
-        exact.append(_exact_key(hashed.join(hashes, "_hash", "left_semi").drop("_hash"), place))
-    schema = "table_name string, ordinal int, column_name string, is_key boolean"
-    return reduce(DataFrame.unionAll, [*exact, spark.createDataFrame(known, schema)])
+            own = F.broadcast(own)
+        hashed = values.withColumn("_hash", F.xxhash64("value"))
+        exact.append(_exact_key(hashed.join(own, "_hash", "left_semi").drop("_hash"), place))
+    return reduce(DataFrame.unionAll, [*exact, spark.createDataFrame(known, f"{_PLACE}, is_key boolean")])
+
+
+def _comparable(field: T.StructField) -> Column:
+    """A column's values, or their JSON where they can't be compared."""
+    value = F.col(backtick(field.name))
+    if isinstance(field.dataType, T.MapType):
+        value = F.array_sort(F.transform(F.map_entries(value), lambda entry: F.to_json(entry)))
+    held = field.dataType.simpleString()
+    return F.to_json(F.struct(value)) if "map<" in held or "variant" in held else value
+
+
+def _filled(name: str, df: DataFrame) -> DataFrame:
+    """Rows, filled rows and the greatest hash of every column."""
+    counts, rows = ["count(1) AS row_count"], []
+    for ordinal, f in enumerate(df.schema, start=1):
+        counts.append(F.count(backtick(f.name)).alias(f"filled_{ordinal}"))
+        counts.append(F.max(F.xxhash64(_comparable(f))).alias(f"greatest_{ordinal}"))
+        rows.append(f"{ordinal}, filled_{ordinal}, greatest_{ordinal}")
+    unpivoted = f"stack({len(rows)}, {', '.join(rows)}) AS (ordinal, filled, greatest)"
+    counted = df.agg(F.expr(counts[0]), *counts[1:])
+    return counted.selectExpr(f"{sql_string(name)} AS table_name", unpivoted, "row_count")
+
+
+def _residue_repeats(name: str, df: DataFrame, greatest: Mapping[tuple[str, int], int]) -> DataFrame:
+    """Columns that hold a value twice among those looked at. Two hashes, of 128 bits together, name a value."""
+    looked = []
+    for ordinal, f in enumerate(df.schema, start=1):
+        if (most := greatest.get((name, ordinal))) is None:
+            continue
+        value = _comparable(f)
+        hashed = F.xxhash64(value)
+        each = F.struct(F.lit(ordinal).alias("ordinal"), hashed.alias("a"), F.xxhash64(F.lit(1), value).alias("b"))
+        looked.append(F.when((F.pmod(hashed, F.lit(RESIDUE)) == 0) | (hashed == F.lit(most)), each))
+    if not looked:
+        return df.sparkSession.createDataFrame([], "table_name string, ordinal int")
+    found = df.select(F.explode(F.array_compact(F.array(*looked))).alias("each"))
+    twice = found.groupBy("each.ordinal", "each.a", "each.b").count().where("count > 1")
+    return twice.select(F.lit(name).alias("table_name"), "ordinal").distinct()
 
 
 def _repeated_hashes(values: DataFrame) -> DataFrame:
     """Hashes that occur twice: those of all values that repeat, and nothing of a key but
     rare collisions. Long values need comparing only where eight bytes do not tell."""
-    hashed = values.select(F.xxhash64(backtick(values.columns[0])).alias("_hash"))
+    hashed = values.select(F.xxhash64("value").alias("_hash"))
     return hashed.groupBy("_hash").count().where("count > 1").select("_hash")
 
 
 def _exact_key(values: DataFrame, place: tuple[str, int, str]) -> DataFrame:
     table, ordinal, column = place
-    return values.groupBy(backtick(column)).count().selectExpr(
+    return values.groupBy("value").count().selectExpr(
         f"{sql_string(table)} AS table_name",
         f"{ordinal} AS ordinal",
         f"{sql_string(column)} AS column_name",
@@ -135,9 +179,13 @@ def foreign_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> Da
     pairs = defaultdict(list)
     for from_table, df in tables.items():
         for f in df.schema:
-            for to_table in named.get(bare_name(f.name, df.columns), ()):
-                key = tables[to_table].schema[keys[to_table]]
-                if from_table != to_table and _same_kind(f.dataType, key.dataType):
+            name = bare_name(f.name, df.columns)
+            others = [t for t in named.get(name, ()) if t != from_table]
+            own = keys.get(from_table)
+            if own and name == "parent" + bare_name(own, df.columns):  # a row's parent in its own table
+                others.append(from_table)
+            for to_table in others:
+                if _same_kind(f.dataType, tables[to_table].schema[keys[to_table]].dataType):
                     pairs[to_table].append((from_table, f.name))
     tested = [_orphans(tables, found, table, keys[table]) for table, found in pairs.items()]
     if not tested:
@@ -171,7 +219,8 @@ def _orphans(tables, pairs, to_table: str, to_column: str) -> DataFrame:
     )
     values = values.where("value IS NOT NULL").distinct()
     key = F.col(backtick(to_column)).cast(_widest(kind)).alias("key")
-    joined = values.join(tables[to_table].select(key), F.col("value") == F.col("key"), "left")
+    known = tables[to_table].select(key).distinct()  # grouped as the join needs it
+    joined = values.join(known, F.col("value") == F.col("key"), "left")
     return joined.groupBy("from_table", "from_column").agg(
         F.lit(to_table).alias("to_table"),
         F.lit(to_column).alias("to_column"),

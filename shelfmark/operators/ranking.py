@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.columns import backtick, column_name
@@ -26,6 +26,14 @@ def order_by(df: DataFrame, sort_by: str, ascending: bool, id_column: str) -> li
     return order
 
 
+def sortable(rows: DataFrame) -> list[Column]:
+    """All columns as a sort order; maps, which have none, by their JSON."""
+    return [
+        F.to_json(F.struct(backtick(f.name))) if "map<" in f.dataType.simpleString() else F.col(backtick(f.name))
+        for f in rows.schema
+    ]
+
+
 def _placed(df: DataFrame, order: list[Column]) -> tuple[DataFrame, list[tuple[int, int, int]]]:
     """``df`` in ``order`` with each row's ``_place``, and per partition the rows before it
     and in it.
@@ -60,6 +68,21 @@ def rank_rows(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFra
     )
 
 
+def running_sum(df: DataFrame, order: list[Column], amount: Column, total: str) -> DataFrame:
+    """``df`` with the sum of ``amount`` over the rows up to each in ``order``: the sum in its range
+    partition plus those of the partitions before."""
+    table, _ = _placed(df, order)
+    table = table.withColumn("_range", F.shiftright("_place", _ROW_BITS))
+    begins, before = [], 0
+    for number, held in sorted(table.groupBy("_range").agg(F.sum(amount)).collect()):
+        begins.append((number, before))
+        before += held
+    begins = df.sparkSession.createDataFrame(begins, "_range bigint, _before bigint")
+    along = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    summed = table.withColumn(total, F.sum(amount).over(along)).join(F.broadcast(begins), "_range")
+    return summed.withColumn(total, F.col("_before") + F.col(total)).drop("_range", "_place", "_before")
+
+
 def cut_page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of ``df`` in ``order``.
 

@@ -5,8 +5,9 @@ other, and each joins the parents on a key they are both partitioned by.
 
 A group of more than ``ARRAY_ROWS`` children or ``ARRAY_BYTES`` of text is never gathered by
 one task. Its rows are spread over several *parts*, and the parent is emitted once for each:
-part 0 to ``parts - 1``, whose arrays together hold every child once. All other parents have
-one part.
+part 0 to ``parts - 1``. The parts are consecutive runs of the sorted children, so that the arrays
+joined in the order of ``part`` are the one sorted array. All other parents have one part, and
+``(externalId, part)`` is the key of all items. ``children_of`` gives one row for each child instead.
 """
 
 from __future__ import annotations
@@ -28,14 +29,13 @@ from shelfmark.functions.columns import (
     sql_column,
     sql_text,
 )
+from shelfmark.operators.ranking import running_sum
 from shelfmark.plans.spec import RelationSpec
 from shelfmark.session import store
 
 # Children in one array, and bytes of text in it. A parent with more is split into parts.
 ARRAY_ROWS = 100_000
 ARRAY_BYTES = 64 << 20
-# A part is filled with this many pieces or more, so that hashing fills parts evenly.
-PIECES = 8
 # Rows of a table of keys that is still sent to every executor, and bytes of their text.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
@@ -97,10 +97,8 @@ def large_groups(rows: DataFrame, array_rows: int) -> DataFrame | None:
     if text is not None:
         parts = F.greatest(parts, F.ceil(F.sum(text) / ARRAY_BYTES))
     sizes = rows.groupBy(KEY).agg(parts.cast("int").alias(PARTS))
-    large = sizes.where(F.col(PARTS) > 1)
-    if large.agg(F.count(F.lit(1))).first()[0] == 0:
-        return None
-    return store(large, "large-groups")
+    large = store(sizes.where(F.col(PARTS) > 1), "large-groups")
+    return None if large.isEmpty() else large
 
 
 def is_small(df: DataFrame) -> bool:
@@ -149,34 +147,62 @@ def join_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return found.unionByName(rows.join(largest, KEY, "left_anti").join(others, KEY))
 
 
+def _unordered(kind: T.DataType) -> bool:
+    return any(name in kind.simpleString() for name in ("map<", "variant"))
+
+
+def _order(kind: T.DataType) -> Column:
+    """What a child's value is sorted by: itself or, where it has no order, its JSON."""
+    return F.to_json(F.struct("value")) if _unordered(kind) else F.col("value")
+
+
+def _gathered(kind: T.DataType, *others: str) -> Column:
+    """All values of a group, with other columns, in their order."""
+    if not _unordered(kind):
+        return F.sort_array(F.collect_list(F.struct("value", *others)))
+    held = F.collect_list(F.struct(_order(kind).alias("order"), "value", *others))
+    before = lambda x, y: F.when(x["order"] < y["order"], -1).when(x["order"] > y["order"], 1)
+    return F.array_sort(held, lambda x, y: before(x, y).otherwise(0))
+
+
 def _arrays(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(KEY).agg(F.sort_array(F.collect_list("value")).alias("values"))
+    kind = rows.schema["value"].dataType
+    values = F.sort_array(F.collect_list("value"))
+    if _unordered(kind):
+        values = F.transform(_gathered(kind), lambda v: v["value"])
+    return rows.groupBy(KEY).agg(values.alias("values"))
 
 
 def _split_arrays(rows: DataFrame, large: DataFrame, array_rows: int) -> DataFrame:
     """Arrays of large groups, one row per part.
 
     Equal values are counted first, which combines before the shuffle however often one
-    repeats. A value's count is then cut into pieces, and a hash of value and piece picks
-    the part: the same on every attempt, and even however the values are distributed.
+    repeats. A running sum of sizes in the order of key and value then tells where in its group each
+    value stands, and every part takes the copies that start in its share of the group. A
+    size is the text's bytes, or a row's share of the bytes of a full part if that is more.
     """
-    piece = F.lit(max(1, array_rows // PIECES))
-    text = _bytes("value", rows.schema["value"].dataType)
-    if text is not None:
-        fitting = F.lit(ARRAY_BYTES // PIECES) / F.greatest(text, F.lit(1))
-        piece = F.greatest(F.lit(1), F.least(piece, F.floor(fitting)))
-    pieces = (
-        join_groups(rows, large)
-        .groupBy(KEY, PARTS, "value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_size", piece.cast("bigint"))
-        .withColumn("_piece", F.expr("explode(sequence(0L, (_n - 1) div _size))"))
-        .withColumn("_n", F.least("_size", F.col("_n") - F.col("_piece") * F.col("_size")))
-        .withColumn(PART, F.pmod(F.xxhash64("value", "_piece"), F.col(PARTS)).cast("int"))
-    )
-    counted = F.sort_array(F.collect_list(F.struct("value", F.col("_n").cast("int").alias("n"))))
-    repeated = F.flatten(F.transform(counted, lambda v: F.array_repeat(v["value"], v["n"])))
-    return pieces.groupBy(KEY, PART).agg(repeated.alias("values"))
+    kind = rows.schema["value"].dataType
+    text = _bytes("value", kind)
+    size = F.lit(1) if text is None else F.greatest(text, F.lit(-(-ARRAY_BYTES // array_rows)))
+    counted = join_groups(rows, large).groupBy(KEY, PARTS, "value").agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.withColumn("_size", size.cast("bigint"))
+    placed = running_sum(counted, [F.col(KEY), _order(kind)], F.col("_n") * F.col("_size"), "_end")
+    begin = F.col("_end") - F.col("_n") * F.col("_size")
+    groups = placed.groupBy(KEY, PARTS).agg(F.min(begin).alias("_first"), F.max("_end").alias("_last"))
+    width = F.ceil((F.col("_last") - F.col("_first")) / F.col(PARTS)).cast("bigint")
+    groups = store(groups.select(KEY, PARTS, "_first", width.alias("_width")), "large-groups")
+    placed = join_groups(placed.drop(PARTS), groups).withColumn("_from", begin - F.col("_first"))
+    last = "(_from + (_n - 1) * _size) div _width"
+    pieces = placed.withColumn(PART, F.expr(f"explode(sequence(_from div _width, {last}))"))
+
+    def copies(edge: str) -> Column:
+        """How many copies start before an edge."""
+        return F.expr(f"least(_n, (greatest({edge} * _width - _from, 0L) + _size - 1) div _size)")
+
+    pieces = pieces.withColumn("n", (copies(f"({PART} + 1)") - copies(PART)).cast("int"))
+    pieces = pieces.where("n > 0").withColumn(PART, F.col(PART).cast("int"))
+    repeated = F.transform(_gathered(kind, "n"), lambda v: F.array_repeat(v["value"], v["n"]))
+    return pieces.groupBy(KEY, PART).agg(F.flatten(repeated).alias("values"))
 
 
 @dataclass(frozen=True)
@@ -218,6 +244,28 @@ def _as_type(key: Column, kind: T.DataType, other: T.DataType) -> Column:
     return key.try_cast(other) if text or whole else key
 
 
+def _keyed(
+    parents: DataFrame, relation: RelationSpec, source: DataFrame, id_column: str
+) -> tuple[DataFrame, Column]:
+    """The child rows of a relation and the parents' key, in one type."""
+    rows = child_rows(relation, source)
+    reference = relation.reference_key or id_column
+    kind, other = column_type(parents, reference), rows.schema[KEY].dataType
+    rows = rows.withColumn(KEY, _as_type(F.col(KEY), other, kind))
+    rows = rows.where(F.col(KEY).isNotNull())
+    return rows, _as_type(column(parents, reference), kind, rows.schema[KEY].dataType)
+
+
+def children_of(
+    parents: DataFrame, relation: RelationSpec, source: DataFrame, id_column: str, identity: Column
+) -> DataFrame:
+    """``externalId`` and ``child`` for each child of each parent: no group is gathered, and a key
+    with very many children is a skewed join, which adaptive execution splits."""
+    rows, parent_key = _keyed(parents, relation, source, id_column)
+    keys = parents.select(parent_key.alias(KEY), identity.alias("externalId"))
+    return rows.join(keys, KEY).select("externalId", F.col("value").alias("child"))
+
+
 def with_children(
     parents: DataFrame,
     relations: Mapping[str, RelationSpec],
@@ -235,12 +283,7 @@ def with_children(
     """
     grouped = {}
     for name, relation in relations.items():
-        rows = child_rows(relation, sources[name])
-        reference = relation.reference_key or id_column
-        kind, other = column_type(parents, reference), rows.schema[KEY].dataType
-        rows = rows.withColumn(KEY, _as_type(F.col(KEY), other, kind))
-        rows = rows.where(F.col(KEY).isNotNull())
-        parent_key = _as_type(column(parents, reference), kind, rows.schema[KEY].dataType)
+        rows, parent_key = _keyed(parents, relation, sources[name], id_column)
         only = parents.select(parent_key.alias(KEY)).distinct() if narrowed else None
         grouped[name] = (parent_key, group_children(rows, array_rows, only))
 

@@ -155,10 +155,11 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def estimated_rows(spark: SparkSession, name: str, df: DataFrame | None = None) -> DataFrame:
     """A table's row count from the catalog's statistics, or counted where it has none."""
-    df = df if df is not None else spark.table(name)
+    quoted = ".".join(backtick(part) for part in name.split("."))
+    df = df if df is not None else spark.table(quoted)
     statistics = (
-        spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Statistics'")
-        if spark.catalog.tableExists(name)
+        spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").where("col_name = 'Statistics'")
+        if spark.catalog.tableExists(quoted)
         else None
     )
     known = statistics.first() if statistics is not None else None

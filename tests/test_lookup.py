@@ -64,3 +64,14 @@ def test_log_entries(catalog, ids, monkeypatch, broadcast_rows):
         ("/items/", 404, 0): 2,
     }
     assert {r.apiKey for r in found} == {"unknown"}
+
+
+def test_main_rows_may_hold_maps(spark):
+    from shelfmark import Catalog, ResourceSpec
+
+    main = spark.createDataFrame([(1, {"a": 2}), (1, {"a": 1}), (2, None)], "id int, m map<string,int>")
+    catalog = Catalog(ResourceSpec("t", "id", {"title": "id"}, attributes={"m": "m"}), main)
+    ids = spark.createDataFrame([("1",), ("junk",), (None,), ("2",), ("9",)], "id string")
+    found = {r.id: r for r in catalog.lookup(ids).collect()}
+    assert found["1"].attributes.m == {"a": 1} and found["2"].attributes.m is None
+    assert {k: r.status_code for k, r in found.items()} == {"1": 200, "2": 200, "junk": 404, None: 404, "9": 404}

@@ -146,3 +146,23 @@ def test_jdbc_options():
     for bad in ({}, {"table": "a", "query": "b"}, {"table": "a", "partition_column": "id"}):
         with pytest.raises(ValueError):
             readers.jdbc_options("jdbc:x", **bad)
+
+
+def test_a_table_may_refer_to_itself(spark):
+    tree = spark.createDataFrame([(1, None), (2, 1), (3, 1)], "id int, parent_id int")
+    other = spark.createDataFrame([(1, 1), (2, 1)], "id int, parent_id int")
+    keys = {"tree": "id", "other": "id"}
+    found = {tuple(r) for r in profile.foreign_keys({"tree": tree, "other": other}, keys).collect()}
+    assert found == {("tree", "parent_id", "tree", "id"), ("other", "parent_id", "other", "id")}
+    counted = profile.orphan_counts({"tree": tree, "many": other.select("parent_id")}, [("tree", "parent_id")], "many", "parent_id")
+    assert [(r["values"], r["orphans"]) for r in counted.collect()] == [(1, 0)]
+
+
+def test_keys_are_disproved_by_values_alone(spark):
+    """Half of the values differ, one is there twice, maps are compared."""
+    frame = spark.range(5000).selectExpr(
+        "id", "if(id = 4999, 0, id) AS once_more", "id % 3 AS few", "map(id, 1) AS held", "map(id % 7, 1) AS held_twice",
+        "repeat(cast(id as string), 2) AS text", "if(id = 1, '22', cast(id as string)) AS text_twice", "nullif(id, 7) AS hole",
+    )
+    keys = {r.column_name for r in profile.candidate_keys({"t": frame}).collect() if r.is_key}
+    assert keys == {"id", "held", "text"}

@@ -172,3 +172,45 @@ def test_more_large_groups_than_may_be_broadcast(spark, parents, children, monke
     flat, _ = gathered(catalog.lookup(ids).where("status_code = 200"), "flat")
     truth = expected(whole, lambda r: r.v)
     assert flat == {k: truth[k] for k in ("1", "2", "3")}
+
+
+@pytest.mark.parametrize("array_rows", [7, 40, 1_000_000])
+def test_parts_are_runs_of_the_sorted_array(parents, children, array_rows):
+    catalog = Catalog(spec(flat=FLAT, nested=NESTED), parents, {"child": children}, array_rows)
+    joined = defaultdict(lambda: ([], []))
+    for row in sorted(catalog.items().collect(), key=lambda r: (r.externalId, r.part)):
+        joined[row.externalId][0].extend(row.attributes.flat)
+        joined[row.externalId][1].extend(tuple(x) for x in row.attributes.nested)
+    assert joined["2"][0] == [f"v{n:03d}" for n in range(300)]
+    for flat, nested in joined.values():
+        assert flat == sorted(flat) and nested == sorted(nested)
+
+
+def test_children_as_rows(parents, children):
+    catalog = Catalog(spec(flat=FLAT, nested=NESTED), parents, {"child": children}, 40)
+    found = defaultdict(Counter)
+    for row in catalog.child_rows("flat").collect():
+        found[row.externalId][row.child] += 1
+    assert found == expected(children, lambda r: r.v)
+    assert catalog.child_rows("nested").select("child.twice").count() == sum(map(Counter.total, found.values()))
+
+
+@pytest.mark.parametrize("array_rows", [2, 1000])
+def test_child_fields_may_be_maps(spark, parents, array_rows):
+    rows = [(1, {"a": n % 3, "b": 1}) for n in range(9)] + [(2, None)]
+    child = spark.createDataFrame(rows, "fk int, m map<string,int>")
+    relation = RelationSpec("child", "fk", {"m": "m"})
+    catalog = Catalog(spec(maps=relation), parents, {"child": child}, array_rows)
+    values = defaultdict(list)
+    for row in sorted(catalog.items().collect(), key=lambda r: (r.externalId, r.part)):
+        values[row.externalId].extend(x.m for x in row.attributes.maps)
+    assert values["1"] == [{"a": n, "b": 1} for n in range(3) for _ in range(3)]
+    assert values["2"] == [None] and values["0"] == []
+
+
+def test_sizes_are_counted_once(parents, children, monkeypatch):
+    stored = []
+    whole = relations.store
+    monkeypatch.setattr(relations, "store", lambda df, label: stored.append(label) or whole(df, label))
+    Catalog(spec(flat=FLAT), parents, {"child": children}, 1_000_000).items().collect()
+    assert stored == ["large-groups"]
