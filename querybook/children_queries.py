@@ -149,7 +149,7 @@ def children_rows(tables):
 @BOOK.add(f"""
     SELECT CAST(o_orderkey AS VARCHAR) AS external_id, {FLAGS_SQL} FROM orders WHERE o_orderstatus = 'P'""")
 def items_base_filtered(tables):
-    """Only children of items that the base filter shows are grouped."""
+    """Items that the base filter shows, with all of their children."""
     spec = replace(ALL_ORDERS, relations={"flags": LINE_FLAGS}, base_filter="o_orderstatus = 'P'")
     items = catalog(spec, tables).items()
     return items.select(F.col("externalId").alias("external_id"), _joined("attributes.flags").alias("flags"))
