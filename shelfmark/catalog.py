@@ -13,7 +13,7 @@ from shelfmark.functions.columns import as_text, backtick, column, column_name,
 from shelfmark.functions.predicates import compare, select_rows, where
 from shelfmark.operators import lookup as lookups
 from shelfmark.operators.items import item_columns, item_json
-from shelfmark.operators.ranking import cut_page, order_by, rank_rows, sortable
+from shelfmark.operators.ranking import cut_page, order_by, rank_rows, sortable, sorted_by
 from shelfmark.operators.relations import (
     ARRAY_ROWS,
     PART,
@@ -77,16 +77,15 @@ class Catalog:
         return select_rows(self.main, self.spec, request or self.request())
 
     def _ordered(self, request: PageRequest):
-        """The matching rows, narrowed to item and sort columns, and their order."""
-        order = order_by(self.main, request.sort_by, request.ascending, self.spec.id_column)
-        keys = [column_name(self.main.schema, request.sort_by)]
-        columns = list(dict.fromkeys([*self.columns, *keys]))
-        return self.rows(request).select(*self._quoted(columns)), order
+        """The matching rows, narrowed to item and sort columns, and the sort columns."""
+        keys = order_by(self.main, request.sort_by, request.ascending, self.spec.id_column)
+        columns = list(dict.fromkeys([*self.columns, *(name for name, _ in keys)]))
+        return self.rows(request).select(*self._quoted(columns)), keys
 
     def page_rows(self, request: PageRequest) -> DataFrame:
         """The main rows of one page, in order."""
-        rows, order = self._ordered(request)
-        return cut_page(rows, order, request.offset, request.page_size)
+        rows, keys = self._ordered(request)
+        return cut_page(rows, keys, request.offset, request.page_size)
 
     def page(self, request: PageRequest | None = None) -> DataFrame:
         """One page of items with their children.
@@ -155,11 +154,11 @@ class Catalog:
     def all_pages(self, request: PageRequest | None = None) -> DataFrame:
         """Every matching row with its rank and the page it is on."""
         request = request or self.request()
-        rows, order = self._ordered(request)
+        rows, keys = self._ordered(request)
         if clash := {"rank", "page"} & {c.lower() for c in rows.columns}:
             raise ValueError(f"the rows have columns called {sorted(clash)} already")
         page = F.expr(f"(rank - 1) div {request.page_size} + 1").cast("bigint")
-        return rank_rows(rows, order).withColumn("page", page)
+        return rank_rows(rows, sorted_by(keys)).withColumn("page", page)
 
     def lookup(self, ids: DataFrame) -> DataFrame:
         """The answer for every distinct id in ``ids`` (one column)."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.catalog import page_summary
-from shelfmark.functions.columns import TEXT, backtick, literal_as
+from shelfmark.functions.columns import TEXT, literal_as
 from shelfmark.operators.ranking import cut_page
 from shelfmark.plans.request import LogRequest
 from shelfmark.sources.requestlog import DATE
@@ -34,8 +34,8 @@ def since(log: DataFrame, start: str | None) -> DataFrame:
 
 def page(log: DataFrame, request: LogRequest, ties: list[str]) -> DataFrame:
     """One page, newest first. ``ties`` orders entries of one time, latest first."""
-    order = [F.col(backtick(c)).desc_nulls_last() for c in ["ts", *ties]]
-    return cut_page(since(log, request.since), order, request.offset, request.page_size)
+    keys = [(c, False) for c in ["ts", *ties]]
+    return cut_page(since(log, request.since), keys, request.offset, request.page_size)
 
 
 def summary(log: DataFrame, request: LogRequest) -> DataFrame:

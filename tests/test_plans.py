@@ -99,3 +99,24 @@ def test_ranking_has_no_one_partition_step(catalog, plan, monkeypatch):
     monkeypatch.setattr(ranking, "TOP_ROWS", 5)
     text = plan(catalog.page_rows(PageRequest.parse(SPEC, {"page": "9"})))
     assert "Window" not in text
+
+
+def test_deep_pages_move_no_rows(spark, plan, monkeypatch):
+    monkeypatch.setattr(ranking, "TOP_ROWS", 100)
+    stored = []
+    monkeypatch.setattr(ranking, "store", lambda df, label: stored.append(label) or df)
+    rows = spark.range(100_000).selectExpr("id", "if(id % 10 = 0, null, id % 50) AS k")
+    page = ranking.cut_page(rows, [("k", False), ("id", True)], 60_000, 100)
+    expected = [(x, x % 50) for x in sorted((x for x in range(100_000) if x % 10), key=lambda x: (-(x % 50), x))]
+    assert [tuple(r) for r in page.collect()] == expected[60_000:60_100]
+    text = plan(page)
+    assert not stored and "rangepartitioning" not in text and "TakeOrderedAndProject" in text
+    last = ranking.cut_page(rows, [("k", False), ("id", True)], 99_950, 100).collect()
+    assert [r.id for r in last] == list(range(99_500, 100_000, 10))
+    assert ranking.cut_page(rows, [("k", True), ("id", True)], 200_000, 10).collect() == []
+
+
+def test_deep_page_of_equal_rows_is_ranked(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "TOP_ROWS", 100)
+    rows = spark.range(5000).selectExpr("1 AS k")
+    assert ranking.cut_page(rows, [("k", False)], 2000, 10).count() == 10
