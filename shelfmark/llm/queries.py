@@ -38,9 +38,9 @@ def op1_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Tokens of each document by a unigram vocabulary."""
+    """Tokens of each document, its white space included, by a unigram vocabulary."""
     vocabulary = tokens.unigram_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
-    return tokens.token_counts(_table(spark, folder, "documents"), vocabulary)
+    return tokens.token_counts(_table(spark, folder, "documents"), vocabulary, whole=True)
 
 
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:

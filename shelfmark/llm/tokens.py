@@ -4,11 +4,13 @@ An Aho-Corasick automaton lists all pieces of the vocabulary in a word; dynamic
 places where they end carries the best score and its number of pieces. Ties go as in the
 tokenizer itself: of equally good ways to a place the one whose last piece starts first stays, and a
 character that is no piece costs ten more than the worst piece and counts as its UTF-8 bytes.
-Pieces never cross white space, so each distinct word is segmented once per task.
+A text is segmented whole, with its white space, or as its words alone; either way it is cut
+where no piece of the vocabulary can cross, and each distinct stretch is segmented once per task.
 """
 
 from __future__ import annotations
 
+import re
 from functools import partial
 
 import ahocorasick
@@ -19,8 +21,9 @@ from pyspark.sql import functions as F
 from shelfmark.llm import text as T
 
 SPACE = "▁"
+WHITE = " \t\n\v\f\r"
 UNKNOWN_PENALTY = 10.0
-#: Distinct words a task remembers; beyond, it forgets all and goes on.
+#: Distinct stretches a task remembers; beyond, it forgets all and goes on.
 REMEMBERED = 200_000
 
 
@@ -73,29 +76,69 @@ class Counter(dict):
         return pieces[-1]
 
 
-def _counted(vocabulary: list[tuple[str, float]], batches):
-    counter = Counter(vocabulary)
+class Whole(Counter):
+    """Pieces of whole texts, white space included, as a model with an identity normalizer sees them: one space
+    mark before the text and one for each space, all other characters as they are."""
+
+    def __init__(self, vocabulary: list[tuple[str, float]]):
+        super().__init__(vocabulary)
+        beside, led = set(), False
+        for piece, _ in vocabulary:
+            for x, y in zip(piece, piece[1:]):
+                if x != y:
+                    beside |= {x, y}
+                    led = led or y == SPACE
+        # White space that no piece has beside another character, and whether space marks can only lead.
+        apart = [c for c in WHITE[1:] if c not in beside] + [" "] * (SPACE not in beside)
+        alone = "|".join(f"{re.escape(c)}+" for c in apart)
+        others = "[^" + "".join(map(re.escape, apart)) + "]" if apart else r"[\x00-\xff]"
+        if not led and " " not in apart:
+            stretch = " *[^" + "".join(map(re.escape, [" ", *apart])) + "]+| +"
+        else:
+            stretch = f"{others}+"
+        self.stretches = re.compile("|".join(filter(None, [stretch, alone])).encode()).findall
+
+    def __missing__(self, stretch: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[stretch] = count = self.count(stretch.decode().replace(" ", SPACE))
+        return count
+
+    def of(self, text: bytes) -> int:
+        if not text:
+            return 0
+        return sum(map(self.__getitem__, self.stretches(b" " + text.replace(SPACE.encode(), b" "))))
+
+
+def _counted(vocabulary: list[tuple[str, float]], whole: bool, batches):
+    counter = (Whole if whole else Counter)(vocabulary)
     for batch in batches:
         for rows, data, bounds in T.pieces(batch, "text"):
-            words = [data[a:z].tobytes().split() for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            texts = [data[a:z].tobytes() for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            words = [x.split() for x in texts]
+            counts = map(counter.of, texts) if whole else (sum(map(counter.__getitem__, x)) for x in words)
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0),
                     pa.array([len(x) for x in words], pa.int64()),
-                    pa.array([sum(map(counter.__getitem__, x)) for x in words], pa.int64()),
+                    pa.array(list(counts), pa.int64()),
                 ],
                 ["id", "n_words", "n_tokens"],
             )
 
 
-def token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]], id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_counts(
+    docs: DataFrame, vocabulary: list[tuple[str, float]], id: str = "doc_id", text: str = "text", whole: bool = False
+) -> DataFrame:
     """One row for each row of ``docs``: its id, ``n_words`` and ``n_tokens``.
 
-    * A word is a run of characters other than ASCII white space, led by one space mark.
+    * A word is a run of characters other than ASCII white space.
+    * With ``whole`` the tokens are those of the text as it stands: one space mark leads it, each space is one, and
+      other white space is a character like any. Without, they are those of its words alone, each led by one space mark.
     * A null or empty text has no words and no tokens. Rows are independent of each other; an empty
       table gives an empty result. Other columns of ``docs`` are not looked at.
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
     kind = dict(rows.dtypes)["id"]
-    counted = rows.mapInArrow(partial(_counted, vocabulary), f"id {kind}, n_words long, n_tokens long")
+    counted = rows.mapInArrow(partial(_counted, vocabulary, whole), f"id {kind}, n_words long, n_tokens long")
     return counted.withColumnRenamed("id", id)

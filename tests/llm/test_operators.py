@@ -238,6 +238,31 @@ def test_token_counts_equal_the_tokenizer(spark, docs):
         assert (r.n_words, r.n_tokens) == (len(words(r.text)), want[r.text])
 
 
+def test_token_counts_of_whole_texts_equal_the_tokenizer(spark, docs):
+    from tokenizers import Tokenizer, models, normalizers
+
+    vocabulary = tokens.unigram_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    low = [("<unk>", 0.0), *((f"<0x{i:02X}>", 0.0) for i in range(256))]
+    exact = Tokenizer(models.Unigram([*low, *vocabulary], unk_id=0, byte_fallback=True))
+    exact.normalizer = normalizers.Sequence([normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
+    texts = {r.text or "" for r in docs.select("text").collect()} | {
+        "ab\ncd ef", "a\tb\n\n\n  c", " ", "\n", "    x = 1;\r\n\r\n\ty ", "a  \n b" + " " * 77 + "c", "▁ ▁a▁ b", "\v\f \u00a0 é",
+    }
+    frame = spark.createDataFrame(list(enumerate(sorted(texts))), "doc_id long, text string")
+    for r in tokens.token_counts(frame, vocabulary, whole=True).join(frame, "doc_id").collect():
+        want = len(exact.encode(r.text, add_special_tokens=False).ids)
+        assert (r.n_words, r.n_tokens) == (len(words(r.text)), want), repr(r.text[:80])
+
+
+@pytest.mark.parametrize("more", [[], ["a▁b", "▁▁a"], ["a\n", "\n\n", "▁\t▁"], ["b▁", "▁\n", "\n▁", "\ta"]])
+def test_whole_texts_are_cut_where_no_piece_crosses(more):
+    draw = random.Random(7)
+    counter = tokens.Whole([(p, -1.5 * len(p) + 0.25 * i) for i, p in enumerate(["▁", "a", "▁a", "ab", "▁▁", "▁▁▁▁", *more])])
+    for _ in range(400):
+        text = "".join(draw.choices("ab \n\t▁é\r", k=draw.randint(1, 14)))
+        assert counter.of(text.encode()) == counter.count("▁" + text.replace(" ", "▁")), repr(text)
+
+
 def test_token_ties_go_to_the_piece_that_starts_first():
     counter = tokens.Counter([("▁", 0.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁ab", -2.0)])
     assert counter[b"ab"] == 1 and counter[b"abab"] == 2 and counter[b"zz"] == 3
