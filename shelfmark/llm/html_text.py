@@ -3,8 +3,9 @@
 The standard library's parser streams a page's events into lines, one for each block. A line has its
 text and the tags met on the way; lines in menus, forms, notices and the like weigh
 nothing. The ratios of text to tags are smoothed by a Gaussian and cut at their standard deviation; the
-lines above are the content cluster. The region is the element that holds it: the article
-or main element with most of it, or else the innermost container of nearly all of it.
+lines above are the content cluster. The region is the innermost container of all of it, and those around
+as long as they add no block of links. All article and main elements belong to it wherever they are, and are
+all of it if no block outside is in the cluster by its own ratio.
 Every block of the region that is no boilerplate is kept, however short.
 """
 
@@ -20,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Spread of the smoothing in lines, and the share of the content cluster that a container holds.
-SIGMA, HELD = 1.0, 0.8
+#: Spread of the smoothing in lines, and the share of a block's text in links that makes it one of links.
+SIGMA, LINKED = 1.0, 0.5
 
 # Elements of the HTML standard by their part in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,23 +58,23 @@ def _marked(attributes: dict[str, str | None], inside: bool) -> bool:
 
 
 class Lines(HTMLParser):
-    """Blocks of a page: text, tags, whether they are boilerplate, and the containers around."""
+    """Blocks of a page: text, tags, whether they are boilerplate, the containers around, and whether they are links."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, bool, tuple[int, ...]]] = []
+        self.blocks: list[tuple[str, int, bool, tuple[int, ...], bool]] = []
         self.open: list[tuple[str, bool, int]] = []  # name, boilerplate, number of the container or -1
         self.kinds: list[str] = []
         self.text: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def flush(self):
         text = " ".join("".join(self.text).split())
         if text:
             around = tuple(x[2] for x in self.open if x[2] >= 0)
-            self.blocks.append((text, max(1, self.tags), any(x[1] for x in self.open), around))
+            self.blocks.append((text, max(1, self.tags), any(x[1] for x in self.open), around, self.linked > LINKED * len(text)))
             self.tags = 0
-        self.text = []
+        self.text, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
         names = [x[0] for x in self.open]
@@ -117,6 +118,8 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         self.text.append(data)
+        if any(x[0] == "a" for x in self.open):
+            self.linked += len(" ".join(data.split()))
 
 
 def _smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -126,6 +129,29 @@ def _smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), "valid")
 
 
+def _region(blocks: list[tuple], kinds: list[str], content: list[bool], own: list[bool]) -> set[int]:
+    """Containers whose blocks are kept; none stands for the whole page. ``own`` says which blocks of the content
+    cluster are in it by their own ratio and not by their neighbours'."""
+    common = None
+    for (_, _, _, around, _), chosen in zip(blocks, content):
+        if chosen and common is None:
+            common = around
+        elif chosen:
+            shared = 0
+            while shared < min(len(common), len(around)) and common[shared] == around[shared]:
+                shared += 1
+            common = common[:shared]
+    mains = {i for i, kind in enumerate(kinds) if kind == "main"}
+    if mains and all(mains.intersection(b[3]) for b, chosen in zip(blocks, own) if chosen):
+        return mains
+    while common:
+        wider = set(common[-2:-1])
+        if any(b[4] and not b[2] and common[-1] not in b[3] and (not wider or wider & set(b[3])) for b in blocks):
+            return {common[-1], *mains}
+        common = common[:-1]
+    return set()
+
+
 def main_text(html: str) -> str:
     """The blocks of the main text, one to a line."""
     page = Lines()
@@ -133,24 +159,17 @@ def main_text(html: str) -> str:
     page.close()
     page.flush()
     blocks = page.blocks
-    ratios = np.array([0.0 if bad else len(text) / tags for text, tags, bad, _ in blocks])
+    ratios = np.array([0.0 if b[2] else len(b[0]) / b[1] for b in blocks])
     if not ratios.any():
         return ""
     smooth = _smoothed(ratios)
-    content = (smooth >= min(smooth.std(), smooth.max())) & (ratios > 0)
+    limit = min(smooth.std(), smooth.max())
+    content = (smooth >= limit) & (ratios > 0)
     if not content.any():
         content = ratios > 0
-    weight: dict[int, int] = {}
-    for (text, _, _, around), chosen in zip(blocks, content.tolist()):
-        for number in around if chosen else ():
-            weight[number] = weight.get(number, 0) + len(text)
-    total = sum(len(b[0]) for b, chosen in zip(blocks, content.tolist()) if chosen)
-    mains = [x for x in weight if page.kinds[x] == "main"]
-    if mains:
-        region = max(mains, key=lambda x: (weight[x], -x))
-    else:
-        region = max((x for x in weight if weight[x] >= HELD * total), default=-1)
-    return "\n".join(text for text, _, bad, around in blocks if not bad and (region < 0 or region in around))
+    own = content & (ratios >= limit)
+    region = _region(blocks, page.kinds, content.tolist(), (own if own.any() else content).tolist())
+    return "\n".join(b[0] for b in blocks if not b[2] and (not region or region.intersection(b[3])))
 
 
 def _extracted(names: list[str], batches):

@@ -331,6 +331,25 @@ def test_main_text(spark):
     assert html_text.main_text("<div><p>" + "<b>x</b> " * 5000) == " ".join(["x"] * 5000)
 
 
+def test_main_text_without_an_article():
+    text, links = "Many words of the text. " * 20, "<div><ul><li><a href=x>Other page</a><li><a href=y>More</a></ul></div>"
+    one, many = f"<div>{text}</div>", "<div>" + f"<p>{text}" * 10 + "</div>"
+    for rest in ("", links):
+        for inner in (one, many):
+            got = html_text.main_text(f"<body>{rest}<div class=post><h1>Title</h1><p>Lead</p>{inner}</div></body>").split("\n")
+            assert got[:2] == ["Title", "Lead"] and set(got[2:]) == {text.strip()} and len(got) == (3 if inner is one else 12)
+    pair = f"<body><div>{text * 6}</div><div>{text}</div></body>"
+    assert html_text.main_text(pair) == f"{(text * 6).strip()}\n{text.strip()}"
+
+
+def test_main_text_of_several_articles():
+    text = "Many words of the text. " * 20
+    both = f"<body><div>Unmarked</div><article><p>{text * 5}</article><article><h2>Second</h2><p>{text}</article><article>End</article>"
+    assert html_text.main_text(both) == f"{(text * 5).strip()}\nSecond\n{text.strip()}\nEnd"
+    apart = f"<body><article><p>Teaser</article><div><p>{text}</p><p>{text}</p></div>"
+    assert html_text.main_text(apart) == f"Teaser\n{text.strip()}\n{text.strip()}"
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     vocabulary = [("▁", 0.0)]
