@@ -278,6 +278,14 @@ def test_line_templates(docs, rows):
     assert not left - texts and sum(r.n_dropped for r in got) >= 60
 
 
+def test_short_lines_are_templates(spark):
+    texts = [f"Own text number {'x' * i} of it\nMenu\nRead more\nPage {i}\n{i}\nWord {'y' * i}\n\n" for i in range(12)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in templates.template_lines(frame).collect():
+        assert r.kept.split("\n")[-4:] == [str(r.doc_id), f"Word {'y' * r.doc_id}", "", ""]
+        assert not {"Menu", "Read more", f"Page {r.doc_id}"} & set(r.kept.split("\n"))
+
+
 def test_template_leaf_generalises():
     leaf = templates.Leaf(5)
     lines = [[1, 2, 3, 4, 5], [1, 2, 3, 9, 5], [1, 2, 3, 8, 5], [1, 2, 7, 7, 7]]
