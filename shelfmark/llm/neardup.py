@@ -164,8 +164,8 @@ def _confirmed(width: int, percent: int, batches):
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs of nodes ``a`` and ``b`` that the full sets of their texts confirm."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    wanted = classes.select("node", "first_id").join(ends.distinct(), "node")
-    held = wanted.join(texts.drop("key"), wanted["first_id"].eqNullSafe(texts["id"])).select("node", "text")
+    wanted = classes.select("node", F.col("least.key").alias("key"), F.col("least.id").alias("first_id")).join(ends.distinct(), "node")
+    held = wanted.join(texts, (wanted["key"] == texts["key"]) & wanted["first_id"].eqNullSafe(texts["id"])).select("node", "text")
     held = store(held, "texts")
     left = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = held.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -205,9 +205,10 @@ def near_duplicates(
 def without_near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with their columns; of rows that repeat an id
-    and a text one stays."""
-    found = store(_judged(docs, id, text, width, percent).select("id", "key", "kept"), "verdicts")
+    """One row of each group that ``near_duplicates`` finds, that of the least id and then of the least hash of
+    its text, with its columns; null ids come last. Texts without words stay; of rows that repeat an id and a
+    text one stays."""
+    found = store(_judged(docs, id, text, width, percent).select("id", "key", F.col("first").alias("kept")), "verdicts")
     gone = found.where("not kept").select("id", "key")
     repeated = found.where("kept").groupBy("id", "key").agg(F.count("*").alias("n")).where("n > 1").select("id", "key")
     repeated = store(repeated, "repeated")
@@ -234,10 +235,11 @@ def _judged(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
         ),
         "signatures",
     )
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "key")  # a null id comes last
     classes = store(
         signed.where("node is not null")
         .groupBy("node")
-        .agg(F.min("id").alias("first_id"), *(F.first(c).alias(c) for c in ("n_shingles", "sketch", "bands", "parities"))),
+        .agg(F.min(own).alias("least"), *(F.first(c).alias(c) for c in ("n_shingles", "sketch", "bands", "parities"))),
         "classes",
     )
     spread = classes.select("node", F.explode("bands").alias("bucket"))
@@ -261,7 +263,7 @@ def _judged(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
     placed = store(placed, "placed")
     apart = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     apart = placed.where("not met").join(apart.where("x <> y").select("bucket"), "bucket")
-    apart = store(apart.drop("met").join(classes.drop("first_id"), "node"), "apart")
+    apart = store(apart.drop("met").join(classes.drop("least"), "node"), "apart")
     left = apart.select("bucket", *(F.col(c).alias(f"{c}_a") for c in apart.columns if c != "bucket"))
     right = apart.select("bucket", *(F.col(c).alias(f"{c}_b") for c in apart.columns if c != "bucket"))
     first = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["bucket"]  # a pair meets once
@@ -273,11 +275,13 @@ def _judged(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
     links = links.unionByName(_links(more, classes, texts, width, percent))
 
     found = store(components(links, "a", "b"), "components")
-    named = classes.select("node", "first_id").join(found, "node", "left")
-    least = named.where("component is not null").groupBy("component").agg(F.min("first_id").alias("least"))
-    named = named.join(least, "component", "left").select("node", F.coalesce("least", "first_id").alias("least"))
+    named = classes.select("node", F.col("least").alias("own")).join(found, "node", "left")
+    least = named.where("component is not null").groupBy("component").agg(F.min("own").alias("least"))
+    named = named.join(least, "component", "left").select("node", F.coalesce("least", "own").alias("least"))
     joined = signed.select("id", "key", "node", "n_shingles").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least"))
+    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least.id"))
+    first = F.col("node").isNull() | F.col("id").eqNullSafe(F.col("least.id")) & (F.col("key") == F.col("least.key"))
     return joined.select(
-        "id", "key", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
-    )
+        "id", "key", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"),
+        first.alias("first"),
+    )

@@ -89,6 +89,15 @@ def _kept(rows, sets, least, find):
         yield low == row[0], i
 
 
+def test_one_near_duplicate_stays_without_ids_or_under_one(spark):
+    base = [f"w{i}" for i in range(200)]
+    near = lambda at, c: " ".join([*base[:at], c, *base[at + 1 :]])
+    other = " ".join(f"v{i}" for i in range(50))
+    rows = [(None, near(9, "x")), (None, near(9, "y")), (None, other), (5, other.upper() + " z"), (5, other)]
+    kept = neardup.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 5] and {r.text for r in kept if r.doc_id is None} < {rows[0][1], rows[1][1]}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(50, 50), (60, 61), (61, 60), (70, None)]
     got = {tuple(r) for r in components(spark.createDataFrame(chain, "a int, b int"), "a", "b").collect()}
