@@ -7,7 +7,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontaminate, html_text, mixing, neardup, outliers, repeats, sharding, templates, tokens
+from shelfmark.llm import (
+    audit, chat, covertree, decontaminate, html_text, mixing, multiindex, neardup, outliers, repeats, sharding, templates,
+    tokens,
+)
 
 #: Files of public tokenizers; read on the driver and sent to the tasks.
 TOKENIZERS = "/opt/tokenizers"
@@ -101,11 +104,32 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *(f"quality.{c}" for c in (*outliers.COUNTS, "base_failed", "kept")))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove from each source in each of their orders."""
+    return audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op12_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of vectors of one label with a cosine of 0.98 or more."""
+    rows = _table(spark, folder, "embeddings")
+    return covertree.near_vectors(rows, id="vec_id", label="label", vector="embedding", cosine=0.98)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of other labels that score half to nearly as much as an anchor's best of its own label."""
+    rows = _table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    rows = rows.where(F.col("label").isNotNull() & covertree.finite("embedding"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    rows = rows.select("vec_id", moved.alias("label"), whole.alias("vector"), (F.col("vec_id") % 50 == 0).alias("anchor"))
+    return multiindex.hard_negatives(rows, id="vec_id", positives=5, negatives=3, least=50, most=95)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_shards, op2_token_counts, op3_decontamination, op4_line_templates, op5_mixing, op6_repeats, op7_chat,
-        op8_main_text, op9_near_duplicates, op10_quality,
+        op8_main_text, op9_near_duplicates, op10_quality, op11_filter_audit, op12_near_vectors, op13_hard_negatives,
     )
 }
 
@@ -203,5 +227,73 @@ least AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
   doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
 FROM doc LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+""",
+    "op11_filter_audit": f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_PLAIN}) AS w
+  FROM documents),
+flags AS (
+  SELECT doc_id, part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS f FROM doc),
+marks AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+profile AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM flags LEFT JOIN marks USING (doc_id) GROUP BY part, f),
+letter AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+first AS (
+  SELECT part, o, f, n, good, toxic, coalesce(list_position(list_transform(o, lambda x: f[x]), true), 6) AS gone
+  FROM profile, orders),
+steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+counted AS (
+  SELECT part, o, step, sum(n) FILTER (gone > step) AS kept, sum(n) FILTER (gone = step) AS removed,
+    sum(n) FILTER (f[o[step]] AND gone < step) AS redundant,
+    sum(n) FILTER (f[o[step]] AND len(list_filter(f, lambda x: x)) = 1) AS unique_fails,
+    sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+  FROM first JOIN steps USING (o) GROUP BY part, o, step)
+SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, CAST(step AS INT) AS step,
+  CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, o[step]) AS BIGINT) AS shapley
+FROM counted
+""",
+    "op12_near_vectors": """
+WITH RECURSIVE vec AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a AS vec_id, min(b) AS low FROM reach GROUP BY a),
+linked AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN linked USING (vec_id) LEFT JOIN least USING (vec_id)
+""",
+    "op13_hard_negatives": """
+WITH vec AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM vec a JOIN vec b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positive AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INT) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
 """,
 }
