@@ -219,19 +219,14 @@ def audit(
         *(F.sum(F.coalesce(value, F.lit(0))).alias(c) for c, value in of.items())
     )
 
-    def left(column: str, applied: int) -> Column:
-        """How many fail none of the filters of a set."""
-        return F.sum(F.when(F.col("fails").bitwiseAND(F.lit(applied)) == 0, F.col(column)).otherwise(0))
-
-    def share(i: int) -> Column:
-        """A document that fails k filters is removed by each of them in one of k orders."""
-        held = F.col("fails").bitwiseAND(F.lit(1 << i)) != 0
-        return F.sum(F.when(held, F.col("n") * F.lit(factorial(len(names))) / F.bit_count("fails")).otherwise(0)).cast("long")
-
+    # How many fail none of each set of filters; and a document that fails k filters is removed by each in one of k orders.
+    left = {c: ", ".join(f"sum(if(fails & {applied} = 0, {c}, 0))" for applied in range(whole + 1)) for c in of}
+    shares = ", ".join(
+        f"cast(sum(if(fails & {1 << i} <> 0, n * {factorial(len(names))} / bit_count(fails), 0)) as long)" for i in range(len(names))
+    )
     parts = sums.groupBy("part").agg(
-        *(F.array(*(left(c, applied) for applied in range(whole + 1))).alias(c) for c in of),
-        F.array(*(share(i) for i in range(len(names)))).alias("shares"),
-    )
+        *(F.expr(f"array({found})").alias(c) for c, found in left.items()), F.expr(f"array({shares})").alias("shares")
+    )
     steps = parts.select("*", F.explode(_steps(names)).alias("x"))
 
     def at(column: str, applied) -> Column:
