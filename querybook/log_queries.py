@@ -99,26 +99,58 @@ def log_since(tables):
     return _entry_columns(logs.since(log, "2024-01-20T12:00:00.000Z"))
 
 
-@BOOK.add("""
-    SELECT CASE WHEN event_type = 'error' OR user_id % 7 = 0 THEN 'malformed' ELSE 'entry' END AS kind,
+QUARANTINE_SQL = """
+    SELECT CASE WHEN user_id % 7 = 0 THEN 'malformed' WHEN user_id % 7 IN (1, 2) THEN 'entry'
+                WHEN user_id % 11 BETWEEN 0 AND 4 THEN 'malformed' WHEN user_id % 11 = 5 THEN 'entry'
+                WHEN event_type = 'error' THEN 'malformed' ELSE 'entry' END AS kind,
            CAST(strftime(ts, '%Y-%m-%d') AS VARCHAR) AS day, count(*) AS n
-    FROM events GROUP BY 1, 2""")
-def log_quarantine(tables):
-    """Lines cut short or with a query that is no object are kept apart from the entries, empty records and
-    records of unknown fields are entries, and none is lost."""
-    line = F.to_json(F.struct("*"))
-    user = F.col("ip").cast("long")
-    cut = F.when(F.col("path").contains("/error/"), F.expr("substring(line, 1, length(line) - 9)"))
-    cut = cut.when(user % 7 == 0, F.lit('{"ts": "2026-01-01T00:00:00.000Z", "query": "text"}'))
-    cut = cut.when(user % 7 == 1, F.lit("{}")).when(user % 7 == 2, F.lit('{"user": "x"}'))
+    FROM events GROUP BY 1, 2"""
+
+
+def _dirty_log(tables) -> str:
+    """A dated log in which many lines are cut short, hold a query that is no object, two records, text after the record,
+    single quotes, numbers that are none or an array; others are empty, of unknown fields or led by a tab."""
+    line, user = F.to_json(F.struct("*")), F.col("ip").cast("long")
+    odd = {
+        0: F.concat("line", "line"), 1: F.concat("line", F.lit(" garbage")), 2: F.translate("line", '"', "'"),
+        3: F.concat(F.lit("["), "line", F.lit("]")), 4: F.lit('{"ts": "2026-01-01T00:00:00.000Z", "ms": NaN}'),
+        5: F.concat(F.lit("\t"), "line", F.lit(" \r")),
+    }
+    value = F.when(user % 7 == 0, F.lit('{"ts": "2026-01-01T00:00:00.000Z", "query": "text"}'))
+    value = value.when(user % 7 == 1, F.lit("{}")).when(user % 7 == 2, F.lit('{"user": "x"}'))
+    for rest, text in odd.items():
+        value = value.when(user % 11 == rest, text)
+    value = value.when(F.col("path").contains("/error/"), F.expr("substring(line, 1, length(line) - 9)"))
     lines = _log(tables).withColumn("line", line)
-    lines = lines.select(F.coalesce(cut, "line").alias("value"), requestlog.log_date(F.col("ts")).alias("log_date"))
+    lines = lines.select(F.coalesce(value, "line").alias("value"), requestlog.log_date(F.col("ts")).alias("log_date"))
     folder = new_path(tables.spark, "dirty-log")
     lines.hint("rebalance", F.col("log_date")).write.partitionBy("log_date").text(folder)
-    raw = requestlog.read_raw(tables.spark, folder)
-    broken = requestlog.quarantine(raw).select(F.lit("malformed").alias("kind"), F.col("log_date").alias("day"))
-    entries = requestlog.entries(raw).select(F.lit("entry").alias("kind"), F.col("log_date").alias("day"))
-    return broken.unionAll(entries).groupBy("kind", "day").agg(F.count(F.lit(1)).alias("n"))
+    return folder
+
+
+def _kinds(broken, entries):
+    found = broken.select(F.lit("malformed").alias("kind"), F.col("log_date").alias("day")).unionAll(
+        entries.select(F.lit("entry").alias("kind"), F.col("log_date").alias("day"))
+    )
+    return found.groupBy("kind", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
+@BOOK.add(QUARANTINE_SQL)
+def log_quarantine(tables):
+    """Lines that are no single strict JSON record are kept apart from the entries, and none is lost."""
+    raw = requestlog.read_raw(tables.spark, _dirty_log(tables))
+    return _kinds(requestlog.quarantine(raw), requestlog.entries(raw))
+
+
+@BOOK.add(QUARANTINE_SQL)
+def log_quarantine_stream(tables):
+    """The same lines divided by a stream of several batches, which is then started again."""
+    spark, source = tables.spark, _dirty_log(tables)
+    folder, rejects, checkpoint = (new_path(spark, x) for x in ("divided-log", "rejects", "stream-checkpoint"))
+    for _ in range(2):
+        lines = streams.read_lines(spark, source, files_per_batch=16)
+        streams.ingest_lines(lines, folder, rejects, checkpoint).awaitTermination()
+    return _kinds(streams.read_rejects(spark, rejects), requestlog.read_log(spark, folder))
 
 
 @BOOK.add(f"""

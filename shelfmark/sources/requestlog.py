@@ -23,8 +23,12 @@ ENTRY_SCHEMA = T.StructType(
 ENTRY_COLUMNS = ENTRY_SCHEMA.fieldNames()
 DATE = "log_date"
 CORRUPT = "_corrupt"
-#: The text of a line as it stands in the log.
-LINE = "_line"
+#: The text of a line as it stands in the log, and whether it is an entry.
+LINE, IS_ENTRY = "_line", "_entry"
+#: White space of JSON.
+BLANK = " \t\r\n"
+#: What a JSON text may not have, though the parser would take it.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 # Numbers are read as text and cast, so that a line with an odd number is still an entry.
 RAW_SCHEMA = T.StructType(
@@ -41,37 +45,36 @@ def log_date(ts: Column) -> Column:
     return F.substring(ts, 1, 10)
 
 
+def parsed(lines: DataFrame) -> DataFrame:
+    """Each line of the column ``value`` that is not blank, with its text, parsed where it is one JSON record.
+
+    The parser stops after the first value of a text, so a line is read twice: as the value of an
+    object and as an element of an array. What comes after the value may close one of the two
+    early but not both, and a second value makes two elements.
+    """
+    fields = T.StructType([f for f in RAW_SCHEMA if f.name not in (DATE, CORRUPT)])
+    whole = T.StructType([T.StructField("value", fields), T.StructField(CORRUPT, T.StringType())])
+    value = F.col("value")
+    in_object = F.from_json(F.concat(F.lit('{"value":'), value, F.lit("}")), whole, {**STRICT, "columnNameOfCorruptRecord": CORRUPT})
+    in_array = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<struct<ts:string>>", STRICT)
+    date = F.col(DATE).cast("string") if DATE in lines.columns else F.lit(None).cast("string")
+    read = lines.where(F.trim(value, F.lit(BLANK)) != "").select(
+        value.alias(LINE), in_object.alias("read"), F.coalesce(F.size(in_array) == 1, F.lit(False)).alias("one"), date.alias(DATE)
+    )
+    good = F.col("one") & F.col(f"read.{CORRUPT}").isNull() & F.ltrim(F.col(LINE), F.lit(BLANK)).startswith("{")
+    return read.select(LINE, "read.value.*", F.coalesce(good, F.lit(False)).alias(IS_ENTRY), DATE)
+
+
 def read_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """Every line of a log folder that is not blank, with its text, parsed where it is JSON.
+    """Every line of a log folder that is not blank, with its text, parsed where it is an entry.
     No folder is an empty log."""
     try:
-        lines = spark.read.text(folder)
+        lines = spark.read.option("lineSep", "\n").text(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         lines = spark.createDataFrame([], "value string")
-    date = F.col(DATE).cast("string") if DATE in lines.columns else F.lit(None).cast("string")
-    fields = T.StructType([f for f in RAW_SCHEMA if f.name != DATE])
-    parsed = F.from_json("value", fields, {"columnNameOfCorruptRecord": CORRUPT})
-    lines = lines.where(F.trim("value") != "")
-    return lines.select(F.col("value").alias(LINE), parsed.alias("parsed"), date.alias(DATE)).select(
-        LINE, "parsed.*", DATE
-    )
-
-
-def _nothing_read() -> Column:
-    empty = F.lit(True)
-    for name in ENTRY_COLUMNS:
-        empty &= F.col(name).isNull()
-    return empty
-
-
-def _is_entry(raw: DataFrame) -> Column:
-    """Whether a line is one JSON record, whatever its fields. Without the text of the line, in a
-    stream, a record without any known field can't be told from ``null`` and is none."""
-    if LINE not in raw.columns:
-        return F.col(CORRUPT).isNull() & ~_nothing_read()
-    return F.col(CORRUPT).isNull() & F.ltrim(LINE).startswith("{")
+    return parsed(lines)
 
 
 def entries(raw: DataFrame) -> DataFrame:
@@ -80,12 +83,12 @@ def entries(raw: DataFrame) -> DataFrame:
     ``log_date`` is the folder an entry was read from, null in a folder without dates.
     """
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ENTRY_SCHEMA]
-    return raw.where(_is_entry(raw)).select(*typed, DATE)
+    return raw.where(IS_ENTRY).select(*typed, DATE)
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
     """The malformed lines, as they stand, and their ``log_date``: every line that is no entry."""
-    return raw.where(~_is_entry(raw)).select(F.col(LINE).alias("line"), DATE)
+    return raw.where(~F.col(IS_ENTRY)).select(F.col(LINE).alias("line"), DATE)
 
 
 def read_log(spark: SparkSession, folder: str) -> DataFrame:

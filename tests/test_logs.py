@@ -168,3 +168,64 @@ def test_ingest_goes_on_from_its_checkpoint(spark, rate_log, tmp_path):
     assert {r.log_date for r in log.select("log_date").distinct().collect()} == {"2026-01-01", "2026-01-02"}
     batch = requestlog.read_log(spark, rate_log)
     assert log.select("ts", "ip").exceptAll(batch.select("ts", "ip")).count() == 0
+
+
+STRICT_LINES = {
+    '{"ts":"a"}': True, '{"ts":"a"}{"ts":"b"}': False, '{"ts":"a"},{"ts":"b"}': False, '{"ts":"a"} garbage': False,
+    "{'ts':'single'}": False, '\t{"ts":"tab"} \r': True, '[{"ts":"a"}]': False, "{}": True, '{"user":"x"}': True, "null": False,
+    "1": False, '"text"': False, '{"ts":"a"}] x': False, '{"ts":"a"}} x': False, '{"ts":"a"}, ': False, '{"ts":"a",}': False,
+    '{"ms":NaN}': False, '{"u":{"v":[1,{"w":Infinity}]}}': False, '{"u":[1,}': False, '{"ms":01}': False, '{"ts":"\\x"}': False,
+    '{"ts":"a"}//c': False, '{"ts":"a","ts":"b"}': True, '{"ts":{"a":1},"query":{"a":[1]}}': True, '{"ts": "2026-01-': False,
+}
+
+
+def divided(spark, folder, rejects):
+    kept = requestlog.read_log(spark, folder)
+    return kept, streams.read_rejects(spark, rejects)
+
+
+def test_batch_and_stream_take_the_same_lines(spark, tmp_path):
+    """A line is an entry if it is one strict JSON record, and each line ends up in one of both places."""
+    write_lines(tmp_path / "log" / "log_date=2026-01-05", [*STRICT_LINES, "", "  "])
+    write_lines(tmp_path / "log" / "log_date=2026-01-06", ["odd one out"])
+    raw = requestlog.read_raw(spark, str(tmp_path / "log"))
+    found = {r[requestlog.LINE]: r[requestlog.IS_ENTRY] for r in raw.collect()}
+    assert found == STRICT_LINES | {"odd one out": False}
+
+    paths = [str(tmp_path / x) for x in ("out", "rejects", "checkpoint")]
+    streams.ingest_lines(streams.read_lines(spark, str(tmp_path / "log")), *paths).awaitTermination()
+    kept, rejected = divided(spark, *paths[:2])
+    assert kept.count() == sum(STRICT_LINES.values())
+    want = [(line, "2026-01-05") for line, good in STRICT_LINES.items() if not good] + [("odd one out", "2026-01-06")]
+    assert sorted(map(tuple, rejected.collect())) == sorted(want)
+    batch = requestlog.entries(raw)
+    assert kept.select("ts", "query").where("ts IS NOT NULL").count() == batch.where("ts IS NOT NULL").count()
+
+
+def test_batches_replace_themselves(spark, tmp_path):
+    """A batch that is written again, whole or after a failure between its two writes, leaves each line once."""
+    write_lines(tmp_path / "log", ['{"ts":"2026-01-01T00:00:00Z"}', "broken"])
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    lines = requestlog.read_raw(spark, str(tmp_path / "log"))
+    for batch, stream in ((0, "s"), (0, "s"), (1, "s"), (0, "other"), (1, "s")):
+        streams.write_batch(lines, batch, out, rejects, stream)
+    kept, rejected = divided(spark, out, rejects)
+    assert kept.count() == rejected.count() == 3
+    assert {r.log_date for r in kept.collect()} == {"2026-01-01"} and {r.log_date for r in rejected.collect()} == {None}
+
+
+def test_stream_goes_on_and_others_share_its_folders(spark, tmp_path):
+    source, paths = tmp_path / "log", [str(tmp_path / x) for x in ("out", "rejects", "checkpoint")]
+    for day in ("2026-01-01", "2026-01-02"):
+        write_lines(source, [json.dumps(entry(f"{day}T00:00:00.000Z")), "broken"])
+        streams.ingest_lines(streams.read_lines(spark, str(source)), *paths).awaitTermination()
+    kept, rejected = divided(spark, *paths[:2])
+    assert (kept.count(), rejected.count()) == (2, 2)
+    streams.ingest_lines(streams.read_lines(spark, str(source)), *paths[:2], str(tmp_path / "second")).awaitTermination()
+    kept, rejected = divided(spark, *paths[:2])
+    assert (kept.count(), rejected.count()) == (4, 4)
+
+
+def test_log_requests_are_clamped():
+    request = LogRequest(page=0, page_size=10**6)
+    assert (request.page, request.page_size, request.offset) == (1, 100, 0)
