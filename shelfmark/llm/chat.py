@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ OPEN, SAYS, CLOSE = "<turn>", "<says>", "</turn>"
 LEARNT = ("assistant",)
 #: Characters after which a longer conversation goes on in a further part, at the end of a turn.
 PART_CHARACTERS = 1 << 20
+#: Characters that are encoded at once, or one part with more.
+ENCODED_CHARACTERS = 1 << 17
 
 _ESCAPED = re.compile(r"\\|<(?=turn>|says>|/turn>)")
 _TURN = re.compile(r"<turn>(.*?)<says>(.*?)</turn>", re.DOTALL)
@@ -89,21 +92,22 @@ def _formatted(tokenizer: str, learnt: tuple, kind: pa.DataType, batches):
     def batch(group):
         rendered = [render(turns, learnt) for _, _, turns in group]
         encoded = encoder.encode_batch([text for text, _ in rendered], add_special_tokens=False)
-        masks, starts, ends = [], [], []
+        bounds = pa.array(np.cumsum([0, *map(len, encoded)]), pa.int32())
+        offsets = np.empty((bounds[-1].as_py(), 2), np.int32)
+        ids, loss = np.empty(len(offsets), np.int32), np.empty(len(offsets), bool)
+        at = 0
         for (_, spans), tokens in zip(rendered, encoded):
-            offsets = np.array(tokens.offsets, np.int64).reshape(-1, 2)
-            masks.append(masked(offsets, spans).tolist())
-            starts.append(offsets[:, 0])
-            ends.append(offsets[:, 1])
+            own = slice(at, at := at + len(tokens))
+            ids[own] = tokens.ids
+            offsets[own] = np.fromiter(chain.from_iterable(tokens.offsets), np.int32, 2 * len(tokens)).reshape(-1, 2)
+            loss[own] = masked(offsets[own], spans)
+        columns = (ids, offsets[:, 0].copy(), offsets[:, 1].copy(), loss)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([x[0] for x in group], kind),
                 pa.array([x[1] for x in group], pa.int64()),
                 pa.array([text for text, _ in rendered], pa.string()),
-                pa.array([tokens.ids for tokens in encoded], pa.list_(pa.int64())),
-                pa.array(starts, pa.list_(pa.int64())),
-                pa.array(ends, pa.list_(pa.int64())),
-                pa.array(masks, pa.list_(pa.bool_())),
+                *(pa.ListArray.from_arrays(bounds, pa.array(x)) for x in columns),
             ],
             ["conv_id", "part", "formatted", "ids", "starts", "ends", "loss"],
         )
@@ -112,7 +116,7 @@ def _formatted(tokenizer: str, learnt: tuple, kind: pa.DataType, batches):
     for part in _parts(batches):
         group.append(part)
         size += sum(len(role) + len(text) for role, text in part[2])
-        if size >= PART_CHARACTERS:
+        if size >= ENCODED_CHARACTERS:
             yield batch(group)
             group, size = [], 0
     if group:
@@ -146,13 +150,28 @@ def formatted(
 
     kind = to_arrow_type(rows.schema["conv_id"].dataType)
     name = rows.schema["conv_id"].dataType.simpleString()
-    longs = "array<long>"
+    ints = "array<int>"
     return rows.mapInArrow(
         partial(_formatted, tokenizer, tuple(learnt), kind),
-        f"conv_id {name}, part long, formatted string, ids {longs}, starts {longs}, ends {longs}, loss array<boolean>",
+        f"conv_id {name}, part long, formatted string, ids {ints}, starts {ints}, ends {ints}, loss array<boolean>",
     )
 
 
+def _read_back(batch: pa.RecordBatch):
+    """Each part of a batch with the runs of characters under its mask, from the buffers of a few rows at a time."""
+    for at in range(0, batch.num_rows, 64):
+        some = batch.slice(at, 64)
+        bounds = some["loss"].offsets.to_numpy() - some["loss"].offsets[0].as_py()
+        starts, ends, loss = (some[c].flatten().to_numpy(zero_copy_only=False) for c in ("starts", "ends", "loss"))
+        for k in range(some.num_rows):
+            own = slice(bounds[k], bounds[k + 1])
+            kept = loss[own]
+            first, last = starts[own][kept], np.maximum.accumulate(ends[own][kept])
+            new = np.flatnonzero(np.concatenate([[True], first[1:] > last[:-1]])[: len(first)])
+            runs = zip(first[new].tolist(), last[np.append(new[1:], len(first)) - 1].tolist()) if len(first) else ()
+            yield some["conv_id"][k].as_py(), some["part"][k].as_py(), some["formatted"][k].as_py(), runs
+
+
 def _digested(batches):
     """Digests of what is read back from formatted conversations, whose parts come in order."""
     at, state = None, None
@@ -163,24 +182,18 @@ def _digested(batches):
 
     for batch in batches:
         done = []
-        columns = ("conv_id", "part", "formatted", "starts", "ends", "loss")
-        for conversation, part, text, starts, ends, loss in zip(*(batch[c].to_pylist() for c in columns)):
+        for conversation, part, text, runs in _read_back(batch):
             if part == 0:
                 if at:
                     done.append(row())
                 at, state = (conversation,), [hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-            for role, said in _TURN.findall(text):
+            for role, said in (m.groups() for m in _TURN.finditer(text)):
                 state[0].update(f"{unescape(role)}\n{unescape(said)}\n".encode())
                 state[1] += 1
-            cover = np.zeros(len(text) + 1, np.int64)
-            kept = np.array(loss, bool)
-            np.add.at(cover, np.array(starts, np.int64)[kept], 1)
-            np.add.at(cover, np.array(ends, np.int64)[kept], -1)
-            inside = np.concatenate([[0], (np.cumsum(cover)[:-1] > 0).astype(np.int8), [0]])
-            edges = np.flatnonzero(np.diff(inside)).reshape(-1, 2).tolist()
-            learnt = "".join(unescape(text[a:z]) for a, z in edges)
-            state[2].update(learnt.encode())
-            state[3] += len(learnt)
+            for a, z in runs:
+                learnt = unescape(text[a:z])
+                state[2].update(learnt.encode())
+                state[3] += len(learnt)
             state[4] += len(text)
         if done:
             yield _rows(done, batch.schema.field("conv_id").type)
@@ -198,7 +211,7 @@ def _rows(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
 def digests(conversations: DataFrame) -> DataFrame:
     """One row for each conversation that ``formatted`` has written, from its text and mask alone."""
     kind = conversations.schema["conv_id"].dataType.simpleString()
-    return conversations.mapInArrow(
+    return conversations.select("conv_id", "part", "formatted", "starts", "ends", "loss").mapInArrow(
         _digested,
         f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
