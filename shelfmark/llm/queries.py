@@ -72,8 +72,11 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Each document without the bytes of 400-byte strings that start anywhere else too."""
-    found = repeats.repeats(_table(spark, folder, "documents"), length=400)
-    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    found = repeats.repeats(_table(spark, folder, "documents"), length=400, whole=True)
+    kept = F.make_valid_utf8(F.col("kept").cast("string"))  # half a character may be left at the edge of a span
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "spans", kept.alias("kept")
+    )
 
 
 #: A conversation whose texts look like marks.

@@ -198,9 +198,11 @@ def _cleaned(length: int, batches):
             )
 
 
-def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def repeats(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, whole: bool = False
+) -> DataFrame:
     """One row for each row of ``docs``: its id, ``n_bytes``, ``n_removed``, ``spans`` (removed runs of bytes),
-    ``kept_sha256`` and ``kept``, the bytes left; null where nothing is removed, as the text is whole.
+    ``kept_sha256`` and ``kept``, the bytes left; null where nothing is removed, or with ``whole`` all of them.
 
     A byte is removed if a string of ``length`` bytes over it also starts anywhere else, in any
     text, its own included. All is judged on the input.
@@ -218,13 +220,15 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int
     texts = docs.select(key.alias("key"), value.alias("text")).where(F.octet_length("text") >= length)
 
     counted = texts.select("text").mapInArrow(partial(_entries, length), "entry long").groupBy("entry").agg(F.count("*").alias("n"))
-    often = counted.where("n > 1").select("entry")
+    # Written, and merged at every size: a table that is an exchange's whole side has its large keys split, and what
+    # is moved grows as the input does.
+    often = store(counted.where("n > 1").select("entry"), "often").hint("merge")
     parsed = texts.mapInArrow(partial(_phrases, length), "entry long, name long, key binary, first long, last long")
     found = store(parsed.join(often, "entry"), "phrases")
     place = F.struct("key", "first", "last")
     names = found.groupBy("entry", "name").agg(F.count("*").alias("n"), F.min(place).alias("place"))
     names = store(names, "names")
-    whole = found.join(names.where("n > 1").select("entry", "name"), ["entry", "name"]).select("key", "first", "last").distinct()
+    repeated = found.join(names.where("n > 1").select("entry", "name"), ["entry", "name"]).select("key", "first", "last").distinct()
 
     # Written, so that both sides of the joins below are plain exchanges, whose large keys are split.
     entries = store(names.groupBy("entry").agg(F.count("*").alias("names")).where("names > 1"), "entries")
@@ -248,15 +252,17 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int
     twice = far.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
     far = far.where("not settled").join(twice, "name").select("key", "first", F.col("first").alias("last"))
 
-    runs = whole.unionByName(near).unionByName(far).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    runs = repeated.unionByName(near).unionByName(far).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     span = "array<struct<start:long,end:long>>"
     cleaned = runs.join(one, "key").mapInArrow(
         partial(_cleaned, length), f"key binary, n_removed long, spans {span}, kept_sha256 string, kept binary"
     )
     rows = docs.select(
-        F.col(id).alias("id"), key.alias("key"), F.octet_length(value).cast("long").alias("n_bytes"), F.sha2(value, 256).alias("sha")
-    )
+        F.col(id).alias("id"), key.alias("key"), F.octet_length(value).cast("long").alias("n_bytes"), F.sha2(value, 256).alias("sha"),
+        (F.encode(value, "UTF-8") if whole else F.lit(None).cast("binary")).alias("all"),
+    )
     return rows.join(cleaned, "key", "left").select(
         F.col("id").alias(id), "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("spans", F.array().cast(span)).alias("spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "kept",
+        F.coalesce("spans", F.array().cast(span)).alias("spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
+        F.coalesce("kept", "all").alias("kept"),
     )
