@@ -75,7 +75,7 @@ def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.repeats(_table(spark, folder, "documents"), length=400, whole=True)
     kept = F.make_valid_utf8(F.col("kept").cast("string"))  # half a character may be left at the edge of a span
     return found.select(
-        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "spans", kept.alias("kept")
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", kept.alias("kept")
     )
 
 

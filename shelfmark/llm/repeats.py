@@ -237,7 +237,7 @@ def repeats(
     )
     wanted = pool.groupBy("key").agg(F.collect_list("each").alias("wanted"))
     touched = store(found.select("key").distinct(), "touched")
-    one = texts.join(touched, "key").groupBy("key").agg(F.first("text").alias("text"))
+    one = texts.join(touched.hint("merge"), "key").groupBy("key").agg(F.first("text").alias("text"))
     one = store(one, "texts")
 
     schema = "entry long, key binary, first long, settled boolean, bytes binary"
@@ -261,7 +261,7 @@ def repeats(
         F.col(id).alias("id"), key.alias("key"), F.octet_length(value).cast("long").alias("n_bytes"), F.sha2(value, 256).alias("sha"),
         (F.encode(value, "UTF-8") if whole else F.lit(None).cast("binary")).alias("all"),
     )
-    return rows.join(cleaned, "key", "left").select(
+    return rows.join(cleaned.hint("merge"), "key", "left").select(
         F.col("id").alias(id), "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("spans", F.array().cast(span)).alias("spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
         F.coalesce("kept", "all").alias("kept"),
