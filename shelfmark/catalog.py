@@ -132,12 +132,13 @@ class Catalog:
         """Every matching item with its children, unpaged and unsorted.
 
         The rows of a request with conditions are kept in the shared folder, and only
-        their children are grouped.
+        their children are grouped. With a base filter alone a filter of the parents' keys is built
+        and drops most other children where they are read.
         """
         request = request or self.request()
         rows = self.rows(request).select(*self._quoted(self.columns))
         if not self.relations or not (request.conditions or request.updated_since):
-            return self.items_of(rows)
+            return self.items_of(rows, filtered=bool(self.spec.base_filter))
         rows = store(rows, "narrowed")
         return self.items_of(rows, narrowed=True)
 
@@ -181,13 +182,14 @@ class Catalog:
         children: Mapping[str, DataFrame] | None = None,
         keep: Mapping[str, str] | None = None,
         narrowed: bool = False,
+        filtered: bool = False,
     ) -> DataFrame:
         """Main rows as items, with ``children`` by relation (default: the whole child
         tables) and the main columns ``keep`` names. ``narrowed`` rows are a stored part
-        of the main table."""
+        of the main table, ``filtered`` ones a part by a filter."""
         sources = children or {name: self._child(name) for name in self.relations}
         enriched = with_children(
-            rows, self.relations, sources, self.spec.id_column, self.array_rows, narrowed
+            rows, self.relations, sources, self.spec.id_column, self.array_rows, narrowed, filtered
         )
         kept = [F.col(backtick(c)).alias(alias) for alias, c in (keep or {}).items()]
         parts = [F.col(PART).alias("part"), F.col(PARTS).alias("parts")]

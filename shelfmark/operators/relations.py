@@ -40,7 +40,12 @@ ARRAY_BYTES = 64 << 20
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
 
+# Words of 64 bits that a filter of keys has at most, which is what bounds its broadcast, and the bits a key sets
+# in its word. Beyond some ten keys a word it lets most children through and the join alone decides.
+FILTER_WORDS, FILTER_BITS = 1 << 20, 3
+
 KEY, PART, PARTS = "_key", "_part", "_parts"
+WORD, BITS = "_word", "_bits"
 
 
 def child_rows(relation: RelationSpec, source: DataFrame) -> DataFrame:
@@ -236,6 +241,31 @@ def group_children(
     return ChildArrays(arrays.unionByName(_split_arrays(rows, large, array_rows)), large)
 
 
+def _word_and_bits() -> tuple[Column, Column]:
+    """The word of a key in a Bloom filter of words, and the bits it sets there."""
+    hashed = F.xxhash64(KEY)
+    bits = [F.expr(f"shiftleft(1L, cast(shiftright(xxhash64({KEY}), {26 + 6 * i}) & 63 AS int))") for i in range(FILTER_BITS)]
+    return hashed.bitwiseAND(F.lit(FILTER_WORDS - 1)), reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def key_filter(keys: DataFrame) -> DataFrame:
+    """A Bloom filter of the column ``_key`` as a table of words: one aggregate of at most ``FILTER_WORDS`` rows.
+
+    Stored, so that it is built once and is broadcast as it is into the scans that it cuts.
+    """
+    word, bits = _word_and_bits()
+    words = keys.where(F.col(KEY).isNotNull()).select(word.alias(WORD), bits.alias(BITS))
+    return store(words.groupBy(WORD).agg(F.bit_or(BITS).alias(BITS)), "key-filter")
+
+
+def may_match(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows whose key the filter may hold: all that are in it and few others. Neither moves nor multiplies a row, so
+    it stands ahead of the shuffle that groups them, and a table bucketed by the key still needs none."""
+    word, bits = _word_and_bits()
+    kept = rows.withColumn(WORD, word).join(F.broadcast(found), WORD)
+    return kept.where(F.col(BITS).bitwiseAND(bits) == bits).select(*(backtick(c) for c in rows.columns))
+
+
 def _as_type(key: Column, kind: T.DataType, other: T.DataType) -> Column:
     """A key in the type it is compared with where it is text and that is not, or where
     both are whole numbers; null where it has no value there."""
@@ -273,18 +303,23 @@ def with_children(
     id_column: str,
     array_rows: int = ARRAY_ROWS,
     narrowed: bool = False,
+    filtered: bool = False,
 ) -> DataFrame:
     """``parents`` with one array column per relation (named by ``array_column``),
     ``[]`` where there are no children, and the part each row is.
 
     ``sources`` holds each relation's child table by the relation's name. ``narrowed``
     says that ``parents`` is a stored part of its table: children of others are dropped
-    before they are grouped.
+    before they are grouped. ``filtered`` says that it is a part that is not stored: most of the
+    children of others are dropped in the scan, by a filter of the parents' keys.
     """
     grouped = {}
     for name, relation in relations.items():
         rows, parent_key = _keyed(parents, relation, sources[name], id_column)
-        only = parents.select(parent_key.alias(KEY)).distinct() if narrowed else None
+        keys = parents.select(parent_key.alias(KEY))
+        if filtered and keys.schema[KEY].dataType == rows.schema[KEY].dataType:
+            rows = may_match(rows, key_filter(keys))
+        only = keys.distinct() if narrowed else None
         grouped[name] = (parent_key, group_children(rows, array_rows, only))
 
     result = _spread_parents(parents, list(grouped.values()))

@@ -1,6 +1,7 @@
 """What the plans of the operators must look like."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,13 +87,35 @@ def test_bucketed_tables_join_without_a_shuffle(spark, stored, plan):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         catalog = Catalog(SPEC, spark.table("b_main"), {"lines": spark.table("b_lines")})
-        assert "Exchange" not in plan(catalog.items())
+        text = plan(catalog.items())  # the filter of the parents' keys is broadcast, nothing is shuffled
+        assert text.count("Exchange") == text.count("BroadcastExchange") and "partitioning" not in text.replace("Partitioning: 4", "")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("b_main", "b_lines"):
             spark.sql(f"DROP TABLE {name}")
 
 
+def test_base_filter_cuts_the_child_scan(spark, stored, plan):
+    """The filter of the parents' keys stands between the child's scan and the shuffle that groups it, and a bucketed child
+    is not shuffled for it."""
+    spec = replace(SPEC, base_filter="id < 40")
+    for name, frame, key in (("f_main", stored[0], "id"), ("f_lines", stored[1], "fk")):
+        frame.write.mode("overwrite").bucketBy(4, key).sortBy(key).saveAsTable(name)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = Catalog(spec, stored[0], {"lines": stored[1]}).items()
+        text = plan(items)
+        assert text.index("BroadcastHashJoin") < text.index("Exchange\n") and "_word" in text
+        bucketed = plan(Catalog(spec, spark.table("f_main"), {"lines": spark.table("f_lines")}).items())
+        assert "hashpartitioning" not in bucketed and "_word" in bucketed
+        whole = Catalog(replace(SPEC, base_filter=None), stored[0], {"lines": stored[1]}).items().where("cast(externalId as int) < 40")
+        assert sorted(map(str, items.collect())) == sorted(map(str, whole.collect())) and items.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("f_main", "f_lines"):
+            spark.sql(f"DROP TABLE {name}")
+
+
 def test_ranking_has_no_one_partition_step(catalog, plan, monkeypatch):
     text = plan(catalog.all_pages())
     assert "SinglePartition" not in text and "Window" not in text and "parquet" in text

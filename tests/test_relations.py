@@ -214,3 +214,35 @@ def test_sizes_are_counted_once(parents, children, monkeypatch):
     monkeypatch.setattr(relations, "store", lambda df, label: stored.append(label) or whole(df, label))
     Catalog(spec(flat=FLAT), parents, {"child": children}, 1_000_000).items().collect()
     assert stored == ["large-groups"]
+
+
+@pytest.mark.parametrize("words", [1, 4, 1 << 20])
+def test_key_filter_drops_no_child(spark, monkeypatch, words):
+    """Few words let more children through, which the join drops; no child of a parent is lost."""
+    monkeypatch.setattr(relations, "FILTER_WORDS", words)
+    rows = spark.range(2000).select((F.col("id") % 500).alias("_key"), F.col("id").alias("value"))
+    keys = spark.range(0, 500, 50).select(F.col("id").alias("_key")).union(spark.sql("SELECT CAST(null AS long)"))
+    found = relations.key_filter(keys)
+    assert found.count() <= min(words, 10)
+    kept = relations.may_match(rows, found)
+    assert kept.columns == rows.columns
+    assert kept.where("_key % 50 = 0").count() == 40
+    assert kept.count() <= 60 if words > 4 else kept.count() <= 2000
+
+
+@pytest.mark.parametrize("array_rows", [100, 100_000])
+def test_base_filtered_items_have_all_their_children(parents, children, others, array_rows):
+    relations_ = {"flat": FLAT, "nested": NESTED, "other": OTHER}
+    shown = ResourceSpec("parent", "id", {"title": "id"}, base_filter="id IN (1, 3, 5)", relations=relations_)
+    sources = {"child": children, "other": others}
+    all_found = gathered(Catalog(spec(**relations_), parents, sources, array_rows).items(), "flat")[0]
+    found = gathered(Catalog(shown, parents, sources, array_rows).items(), "flat")[0]
+    assert found == {k: v for k, v in all_found.items() if k in "135"} and sum(found["1"].values()) == 300
+
+
+def test_filter_of_text_keys(spark):
+    main = spark.createDataFrame([("a", 1), ("b", 2), (None, 1)], "id string, n int")
+    child = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z"), (None, "w")], "fk string, v string")
+    shown = ResourceSpec("parent", "id", {"title": "id"}, base_filter="n = 1", relations={"flat": FLAT})
+    items = Catalog(shown, main, {"child": child}).items().collect()
+    assert sorted((r.externalId, r.attributes["flat"]) for r in items) == [("", []), ("a", ["x"])]
