@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from querybook.registry import Book
 from shelfmark import Catalog, ResourceSpec
-from shelfmark.operators import matching, profile
+from shelfmark.operators import dependencies, matching, profile
 from shelfmark.sources import metadata
 
 BOOK = Book()
@@ -138,6 +138,46 @@ def inclusion_dependency(tables):
     return found.select(F.concat_ws(" -> ", source, target).alias("fk"), "orphans")
 
 
+def _values_sql(template: str) -> str:
+    """A query over the texts of all values, by row and column, of each table."""
+    return _union(template.replace("{values}", "(UNPIVOT (SELECT row_number() OVER () AS _r, CAST(COLUMNS(*) AS VARCHAR) FROM {t}) "
+                                   "ON COLUMNS(* EXCLUDE _r) INTO NAME c VALUE v)"))
+
+
+@BOOK.add(
+    "SELECT table_name, x || ',' || y AS columns FROM ("
+    + _values_sql("""
+        SELECT '{t}' AS table_name, a.c AS x, b.c AS y FROM {values} a JOIN {values} b ON a._r = b._r AND a.c < b.c
+        WHERE a.c IN (SELECT c FROM {values} GROUP BY c HAVING count(*) = (SELECT count(*) FROM {t}) AND count(DISTINCT v) < count(*))
+          AND b.c IN (SELECT c FROM {values} GROUP BY c HAVING count(*) = (SELECT count(*) FROM {t}) AND count(DISTINCT v) < count(*))
+        GROUP BY a.c, b.c HAVING count(DISTINCT (a.v, b.v)) = count(*)""")
+    + ")"
+)
+def composite_keys(tables):
+    """Every pair of columns that is a key while neither is one."""
+    keys = dependencies.composite_keys(tables.named(TABLES), width=2)
+    return keys.select("table_name", F.concat_ws(",", "columns").alias("columns"))
+
+
+KIND_SQL = """CASE k WHEN 'INTEGER' THEN 'whole' WHEN 'BIGINT' THEN 'whole' ELSE k END"""
+
+
+@BOOK.add(
+    "WITH kinds AS ("
+    + _union("SELECT '{t}' AS t, c, k FROM (UNPIVOT (SELECT any_value(typeof(COLUMNS(*))) FROM {t}) ON COLUMNS(*) INTO NAME c VALUE k)")
+    + "), held AS ("
+    + _values_sql("SELECT DISTINCT '{t}' AS t, c, v FROM {values}")
+    + f"""), named AS (SELECT t, c, {KIND_SQL} AS k, v FROM held JOIN kinds USING (t, c) WHERE k NOT LIKE '%[]'),
+    sizes AS (SELECT t, c, count(*) AS n FROM named GROUP BY t, c)
+    SELECT a.t AS from_table, a.c AS from_column, b.t AS to_table, b.c AS to_column
+    FROM named a JOIN named b ON a.k = b.k AND a.v = b.v AND (a.t, a.c) <> (b.t, b.c) JOIN sizes s ON s.t = a.t AND s.c = a.c
+    GROUP BY a.t, a.c, b.t, b.c HAVING count(*) = max(s.n)"""
+)
+def inclusions(tables):
+    """Columns all of whose values occur in another column, whatever their names."""
+    return dependencies.inclusions(tables.named(TABLES))
+
+
 def _reference_sql(child: str, column: str, parent: str, key: str) -> str:
     return f"""
         SELECT '{child}' AS from_table, '{column}' AS from_column, '{parent}' AS to_table,
