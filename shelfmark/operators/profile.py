@@ -62,21 +62,23 @@ def profiled_columns(
 def candidate_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     """For every column, whether it has no nulls and no value twice.
 
-    A null or a repeat among few values, those of a hash residue and the one with the greatest
-    hash (which finds columns with few values), disproves most columns, in two passes over the
-    tables that shuffle next to nothing. No estimate decides: what is left is counted exactly,
-    each with a shuffle of that one column or, for long values, of its hash.
+    Three passes that shuffle next to nothing disprove most columns: by a null, by a repeat of the value with
+    the greatest hash, which finds columns with few values, and by a repeat in a hash residue of what is left by
+    then. No estimate decides: what is left after them is counted exactly, each with a shuffle of
+    that one column or, for long values, of its hash.
     """
     spark = next(iter(tables.values())).sparkSession
     filled = reduce(DataFrame.unionAll, [_filled(name, df) for name, df in tables.items()]).collect()
     greatest = {(r["table_name"], r["ordinal"]): r["greatest"] for r in filled if r["filled"] == r["row_count"]}
-    tried = [_residue_repeats(name, df, greatest) for name, df in tables.items()]
-    disproved = {tuple(r) for r in reduce(DataFrame.unionAll, tried).collect()}
+    for step in (_greatest_repeats, _residue_repeats):
+        tried = [found for name, df in tables.items() if (found := step(name, df, greatest)) is not None]
+        for row in reduce(DataFrame.unionAll, tried).collect() if tried else []:
+            del greatest[row["table_name"], row["ordinal"]]
     known, exact, texts = [], [], []
     for name, df in tables.items():
         for ordinal, f in enumerate(df.schema, start=1):
             place = (name, ordinal, f.name)
-            if (name, ordinal) not in greatest or (name, ordinal) in disproved:
+            if (name, ordinal) not in greatest:
                 known.append((*place, False))
                 continue
             values = df.select(_comparable(f).alias("value"))
@@ -103,40 +105,61 @@ def candidate_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, [*exact, spark.createDataFrame(known, f"{_PLACE}, is_key boolean")])
 
 
-def _comparable(field: T.StructField) -> Column:
+def _comparable_sql(field: T.StructField) -> str:
     """A column's values, or their JSON where they can't be compared."""
-    value = F.col(backtick(field.name))
+    value = backtick(field.name)
     if isinstance(field.dataType, T.MapType):
-        value = F.array_sort(F.transform(F.map_entries(value), lambda entry: F.to_json(entry)))
+        value = f"array_sort(transform(map_entries({value}), entry -> to_json(entry)))"
     held = field.dataType.simpleString()
-    return F.to_json(F.struct(value)) if "map<" in held or "variant" in held else value
+    return f"to_json(struct({value} AS value))" if "map<" in held or "variant" in held else value
+
+
+def _comparable(field: T.StructField) -> Column:
+    return F.expr(_comparable_sql(field))
 
 
 def _filled(name: str, df: DataFrame) -> DataFrame:
     """Rows, filled rows and the greatest hash of every column."""
     counts, rows = ["count(1) AS row_count"], []
     for ordinal, f in enumerate(df.schema, start=1):
-        counts.append(F.count(backtick(f.name)).alias(f"filled_{ordinal}"))
-        counts.append(F.max(F.xxhash64(_comparable(f))).alias(f"greatest_{ordinal}"))
+        counts.append(f"count({backtick(f.name)}) AS filled_{ordinal}")
+        counts.append(f"max(xxhash64({_comparable_sql(f)})) AS greatest_{ordinal}")
         rows.append(f"{ordinal}, filled_{ordinal}, greatest_{ordinal}")
     unpivoted = f"stack({len(rows)}, {', '.join(rows)}) AS (ordinal, filled, greatest)"
-    counted = df.agg(F.expr(counts[0]), *counts[1:])
-    return counted.selectExpr(f"{sql_string(name)} AS table_name", unpivoted, "row_count")
+    return df.selectExpr(*counts).selectExpr(f"{sql_string(name)} AS table_name", unpivoted, "row_count")
+
 
+def _open(name: str, df: DataFrame, greatest: Mapping[tuple[str, int], int]) -> list[tuple[int, str, int | None]]:
+    """Place, values and greatest hash of the columns that may still be keys; none of an empty table is tried."""
+    return [
+        (ordinal, _comparable_sql(f), greatest[name, ordinal])
+        for ordinal, f in enumerate(df.schema, start=1)
+        if greatest.get((name, ordinal)) is not None
+    ]
 
-def _residue_repeats(name: str, df: DataFrame, greatest: Mapping[tuple[str, int], int]) -> DataFrame:
+
+def _greatest_repeats(name: str, df: DataFrame, greatest: Mapping[tuple[str, int], int]) -> DataFrame | None:
+    """Columns with two values of the greatest hash; two hashes, of 128 bits together, name a value. Aggregates without groups."""
+    counts, rows = [], []
+    for ordinal, value, most in _open(name, df, greatest):
+        second = f"CASE WHEN xxhash64({value}) = CAST('{most}' AS BIGINT) THEN xxhash64(1, {value}) END"
+        counts += [f"count({second}) AS rows_{ordinal}", f"min({second}) = max({second}) AS one_{ordinal}"]
+        rows.append(f"{ordinal}, rows_{ordinal}, one_{ordinal}")
+    if not rows:
+        return None
+    unpivoted = f"stack({len(rows)}, {', '.join(rows)}) AS (ordinal, held, one)"
+    return df.selectExpr(*counts).selectExpr(f"{sql_string(name)} AS table_name", unpivoted).where("held > 1 AND one").select("table_name", "ordinal")
+
+
+def _residue_repeats(name: str, df: DataFrame, greatest: Mapping[tuple[str, int], int]) -> DataFrame | None:
     """Columns that hold a value twice among those looked at. Two hashes, of 128 bits together, name a value."""
-    looked = []
-    for ordinal, f in enumerate(df.schema, start=1):
-        if (most := greatest.get((name, ordinal))) is None:
-            continue
-        value = _comparable(f)
-        hashed = F.xxhash64(value)
-        each = F.struct(F.lit(ordinal).alias("ordinal"), hashed.alias("a"), F.xxhash64(F.lit(1), value).alias("b"))
-        looked.append(F.when((F.pmod(hashed, F.lit(RESIDUE)) == 0) | (hashed == F.lit(most)), each))
+    looked = [
+        f"CASE WHEN pmod(xxhash64({value}), {RESIDUE}) = 0 THEN struct({ordinal} AS ordinal, xxhash64({value}) AS a, xxhash64(1, {value}) AS b) END"
+        for ordinal, value, _ in _open(name, df, greatest)
+    ]
     if not looked:
-        return df.sparkSession.createDataFrame([], "table_name string, ordinal int")
-    found = df.select(F.explode(F.array_compact(F.array(*looked))).alias("each"))
+        return None
+    found = df.selectExpr(f"explode(array_compact(array({', '.join(looked)}))) AS each")
     twice = found.groupBy("each.ordinal", "each.a", "each.b").count().where("count > 1")
     return twice.select(F.lit(name).alias("table_name"), "ordinal").distinct()
 
