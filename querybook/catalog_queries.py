@@ -18,7 +18,9 @@ from shelfmark import PageRequest
 from shelfmark.functions.predicates import compare, where
 from shelfmark.operators import lookup
 from shelfmark.operators.items import item_json
+from shelfmark.operators.rankindex import RankIndex
 from shelfmark.plans.request import Condition
+from shelfmark.session import new_path
 from shelfmark.streaming.extract import changed_since
 
 BOOK = Book()
@@ -66,6 +68,25 @@ def catalog_page_deep(tables):
     return page.selectExpr(*ORDER_ITEM)
 
 
+@BOOK.add(f"""
+    SELECT {ORDER_ITEM_SQL} FROM orders
+    ORDER BY o_orderdate DESC NULLS LAST, o_orderkey LIMIT 100 OFFSET 11900""")
+def catalog_page_indexed(tables):
+    """The same deep page from a stored order of all rows, opened again after it was written."""
+    shown, path = catalog(ALL_ORDERS, tables), new_path(tables.spark, "order-index")
+    request = PageRequest.parse(ALL_ORDERS, {"page": "120", "pageSize": "100"})
+    shown.index_pages(path, request)
+    return shown.indexed_page(RankIndex.open(tables.spark, path), request).selectExpr(*ORDER_ITEM)
+
+
+@BOOK.add("""
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC NULLS LAST, o_orderkey) AS rank FROM orders""")
+def ranks_indexed(tables):
+    """The rank of every row, read from a stored order."""
+    index = catalog(ALL_ORDERS, tables).index_pages(new_path(tables.spark, "order-index"))
+    return index.ranked().select("o_orderkey", "rank")
+
+
 def _matching_parts(tables, params, *columns):
     return catalog(PART, tables).rows(PageRequest.parse(PART, params)).select(*columns)
 

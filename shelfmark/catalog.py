@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 import pyarrow as pa
@@ -13,6 +14,7 @@ from shelfmark.functions.columns import as_text, backtick, column, column_name,
 from shelfmark.functions.predicates import compare, select_rows, where
 from shelfmark.operators import lookup as lookups
 from shelfmark.operators.items import item_columns, item_json
+from shelfmark.operators.rankindex import RankIndex
 from shelfmark.operators.ranking import cut_page, order_by, rank_rows, sortable, sorted_by
 from shelfmark.operators.relations import (
     ARRAY_ROWS,
@@ -87,6 +89,39 @@ class Catalog:
         rows, keys = self._ordered(request)
         return cut_page(rows, keys, request.offset, request.page_size)
 
+    def _about(self, request: PageRequest) -> dict:
+        """What the order of a request's rows hangs on, whatever its page."""
+        return {
+            "table": self.spec.table, "id": self.spec.id_column, "base": self.spec.base_filter,
+            "conditions": [str(c) for c in request.conditions], "since": request.updated_since,
+            "sort": request.sort_by, "ascending": request.ascending, "columns": self.columns,
+        }
+
+    def index_pages(self, path: str, request: PageRequest | None = None) -> RankIndex:
+        """Order the rows of a request once and keep them in ``path``, for pages and ranks of any depth.
+
+        It shows the table as it was; ``RankIndex.open`` opens it again.
+        """
+        request = request or self.request()
+        rows, keys = self._ordered(request)
+        return RankIndex.build(rows, keys, path, self._about(request))
+
+    def indexed_page(self, index: RankIndex, request: PageRequest | None = None) -> DataFrame:
+        """As ``page``, from an index of the same rows and order: a deep page costs what the first one does."""
+        request = request or self.request()
+        if index.about != json.dumps(self._about(request), sort_keys=True):
+            raise ValueError("the index is of another request")
+        rows = index.cut(request.offset, request.page_size)
+        return self._local_items(rows) if self.relations else self.items_of(rows)
+
+    def indexed_summary(self, index: RankIndex, request: PageRequest | None = None) -> DataFrame:
+        """As ``summary``, from the sizes that the index knows."""
+        request = request or self.request()
+        pages = -(-index.total // request.page_size)
+        return self.spark.createDataFrame(
+            [(index.total, request.page, request.page_size, pages)], "total long, page int, page_size int, total_pages long"
+        )
+
     def page(self, request: PageRequest | None = None) -> DataFrame:
         """One page of items with their children.
 
