@@ -19,6 +19,7 @@ from shelfmark.functions.predicates import compare, where
 from shelfmark.operators import lookup
 from shelfmark.operators.items import item_json
 from shelfmark.operators.rankindex import RankIndex
+from shelfmark.operators.textindex import TextIndex
 from shelfmark.plans.request import Condition
 from shelfmark.session import new_path
 from shelfmark.streaming.extract import changed_since
@@ -129,6 +130,34 @@ def search_wildcard(tables):
     return _matching_parts(tables, {"search": "r_d"}, "p_partkey", "p_name")
 
 
+def _found_by_index(tables, spec, params, block_rows):
+    """Rows of a search from an index that was written and opened again."""
+    shown, path = catalog(spec, tables), new_path(tables.spark, "text-index")
+    shown.index_text(path, block_rows)
+    return shown.indexed_rows(TextIndex.open(tables.spark, path), PageRequest.parse(spec, params))
+
+
+@BOOK.add("""
+    SELECT p_partkey, p_name, p_brand FROM part
+    WHERE p_size >= 10 AND (p_name ILIKE '%RE%' OR p_brand ILIKE '%RE%')""")
+def search_indexed(tables):
+    """The search of two columns, by an index of runs of characters."""
+    found = _found_by_index(tables, PART, {"search": "RE", "filter.minSize": "10"}, 200)
+    return found.select("p_partkey", "p_name", "p_brand")
+
+
+@BOOK.add("SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%r_d%' OR p_brand ILIKE '%r_d%'")
+def search_wildcard_indexed(tables):
+    return _found_by_index(tables, PART, {"search": "r_d"}, 200).select("p_partkey", "p_name")
+
+
+@BOOK.add("SELECT doc_id, source FROM documents WHERE text ILIKE '%benchmark%' AND lang = 'en'")
+def search_text_indexed(tables):
+    """A rare run of characters in long texts."""
+    found = _found_by_index(tables, DOCUMENTS, {"search": "benchmark", "filter.lang": "en"}, 50)
+    return found.select("doc_id", "source")
+
+
 @BOOK.add("SELECT doc_id, source FROM documents WHERE text ILIKE '%tion%' AND lang = 'en'")
 def search_text(tables):
     request = PageRequest.parse(DOCUMENTS, {"search": "tion", "filter.lang": "en"})

@@ -24,6 +24,7 @@ from shelfmark.operators.relations import (
     children_of_page,
     with_children,
 )
+from shelfmark.operators.textindex import BLOCK_ROWS, TextIndex
 from shelfmark.plans.request import Condition, PageRequest
 from shelfmark.plans.spec import RelationSpec, ResourceSpec
 from shelfmark.session import store
@@ -114,6 +115,15 @@ class Catalog:
         rows = index.cut(request.offset, request.page_size)
         return self._local_items(rows) if self.relations else self.items_of(rows)
 
+    def index_text(self, path: str, block_rows: int = BLOCK_ROWS) -> TextIndex:
+        """Keep the main rows in ``path``, in blocks, with an index of the searchable columns. It shows the table as it was."""
+        return TextIndex.build(self.main, self.spec.searchable_columns, path, block_rows)
+
+    def indexed_rows(self, index: TextIndex, request: PageRequest) -> DataFrame:
+        """As ``rows``, of the table as it was indexed; a search reads only blocks that hold all of its runs of characters."""
+        searches = {c.column: str(c.value) for c in request.conditions if c.operator == "ILIKE"}
+        return select_rows(index.cut(searches), self.spec, request)
+
     def indexed_summary(self, index: RankIndex, request: PageRequest | None = None) -> DataFrame:
         """As ``summary``, from the sizes that the index knows."""
         request = request or self.request()
