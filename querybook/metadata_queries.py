@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from querybook.registry import Book
 from shelfmark import Catalog, ResourceSpec
 from shelfmark.operators import dependencies, matching, profile
+from shelfmark.session import new_path
 from shelfmark.sources import metadata
 
 BOOK = Book()
@@ -83,6 +84,7 @@ COLUMNS_SQL = f"""
         FROM information_schema.columns c
         JOIN filled f ON f.table_name = c.table_name AND f.column_name = c.column_name
         WHERE c.table_name IN ({", ".join(f"'{t}'" for t in TABLES)}))"""
+# Names that mean a field or attribute.
 FIELD_CASES = """
     CASE WHEN regexp_matches(column_name, '^(title|name|product_?name|listing_?name)$', 'i') THEN 'title'
          WHEN regexp_matches(column_name, '^(price|cost|amount|sale_?price)$', 'i') THEN 'price'
@@ -217,6 +219,22 @@ def estimated_rows(tables):
     return metadata.estimated_rows(tables.spark, "lineitem", tables.lineitem)
 
 
+@BOOK.add("SELECT 'lineitem' AS table_name, count(*) AS row_count, true AS inside, true AS near FROM lineitem")
+def sampled_rows(tables):
+    """The true count of a table in files of uneven size, and whether the estimate from some of them states it in its interval."""
+    folder = new_path(tables.spark, "many-files")
+    lines = tables.lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice")
+    uneven = F.floor(F.sqrt(F.pmod(F.xxhash64("l_orderkey"), F.lit(48 * 48)))).cast("int")
+    lines.repartitionByRange(48, uneven).write.parquet(folder)
+    found = metadata.sampled_rows(tables.spark, "lineitem", folder, files=12)
+    counted = metadata.row_counts({"lineitem": tables.spark.read.parquet(folder)})
+    both = found.withColumnRenamed("row_count", "estimate").join(counted, "table_name")
+    return both.select(
+        "table_name", "row_count", F.col("row_count").between(F.col("low"), F.col("high")).alias("inside"),
+        (F.abs(F.col("estimate") / F.col("row_count") - 1) < 0.2).alias("near"),
+    )
+
+
 @BOOK.add(f"""
     WITH {MAPPED_SQL}
     SELECT table_name, column_name, target,
@@ -246,6 +264,7 @@ def role_columns(tables):
 @BOOK.add(f"""
     WITH {COLUMNS_SQL}
     SELECT table_name, column_name, 'high' AS confidence, filled FROM cols
+    -- Fixed values: names worth searching.
     WHERE is_text AND NOT is_key AND (regexp_matches(column_name, 'make|model|brand|manufacturer', 'i')
        OR regexp_matches(column_name, '^(title|name|product_?name|listing_?name|description|desc|details|body)$', 'i'))""")
 def searchable_columns(tables):
@@ -363,3 +382,107 @@ def matched_catalog_items(tables):
         F.array_join("images", "|").alias("images"),
         F.size("attributes.labels").cast("bigint").alias("n_labels"),
     )
+
+
+def _renamed(tables):
+    """Given tables under names that the rules know: every role, filter and kind of relation occurs."""
+    orders, lines, parts = tables.orders, tables.lineitem, tables.part
+    return {
+        "Listings": orders.selectExpr(
+            "o_orderkey AS id", "o_custkey AS ownerId", "o_orderpriority AS Title", "concat('d', o_custkey) AS description",
+            "o_totalprice AS price", "'EUR' AS currency_code", "o_orderstatus AS listingStatus", "o_custkey % 3 <> 0 AS is_active",
+            "CASE WHEN o_custkey % 5 = 0 THEN o_orderdate END AS deletedAt", "o_orderdate AS updated_at",
+            "CAST(year(o_orderdate) AS int) AS production_year", "concat('c', o_custkey % 4) AS Colour",
+        ),
+        "photos": lines.selectExpr("concat(l_orderkey, '-', l_linenumber) AS id", "l_orderkey AS listing_id", "concat('/p/', l_partkey) AS imageUrl", "l_shipdate AS taken_at"),
+        "features": lines.selectExpr("l_orderkey AS listing_id", "l_returnflag AS featureLabel", "l_quantity AS Amount"),
+        "visits": lines.selectExpr("l_orderkey AS listing_id", "l_partkey AS a", "l_suppkey AS b", "l_tax AS c", "l_discount AS d", "l_shipdate AS e"),
+        "cars": parts.selectExpr(
+            "p_partkey AS carKey", "p_name AS model", "p_brand AS manufacturer", "p_type AS fuel_kind", "p_size AS horsepower",
+            "p_retailprice AS cost", "p_size AS km", "current_date() AS lastUpdated", "true AS Visible",
+        ),
+    }
+
+
+RENAMED_KEYS = [("Listings", "id"), ("photos", "id"), ("cars", "carKey")]
+RENAMED_REFERENCES = [(child, "listing_id", "Listings", "id") for child in ("photos", "features", "visits")]
+
+
+def _renamed_specs(tables):
+    frames = _renamed(tables)
+    columns = metadata.table_columns(frames, frozenset(RENAMED_KEYS))
+    kind = "from_table string, from_column string, to_table string, to_column string"
+    return frames, matching.resource_specs(columns, tables.spark.createDataFrame(RENAMED_REFERENCES, kind))
+
+
+# What the rules give for the renamed tables, spec by spec.
+RENAMED_SPECS = {
+    "Listings": (
+        "orders",
+        '{"table":"Listings","baseFilter":"is_active = true AND \\"deletedAt\\" IS NULL","idColumn":"id","updatedAtColumn":"updated_at",'
+        '"fields":{"externalId":"id","title":"\\"Title\\"","price":"price","currency":"currency_code","status":"\\"listingStatus\\"",'
+        '"description":"description"},"attributes":{"year":"production_year","color":"\\"Colour\\""},'
+        '"searchableColumns":["\\"Title\\"","description"],"filterableColumns":{"minPrice":{"column":"price","type":"gte"},'
+        '"maxPrice":{"column":"price","type":"lte"},"currency":{"column":"currency_code","type":"string"},'
+        '"status":{"column":"\\"listingStatus\\"","type":"string"},"year":{"column":"production_year","type":"number"},'
+        '"color":{"column":"\\"Colour\\"","type":"string"}},"relations":{"features":{"table":"features","foreignKey":"listing_id",'
+        '"referenceKey":"id","fields":{"featureLabel":"\\"featureLabel\\"","Amount":"\\"Amount\\""},"flatten":"featureLabel"},'
+        '"images":{"table":"photos","foreignKey":"listing_id","referenceKey":"id","fields":{"imageUrl":"\\"imageUrl\\"",'
+        '"taken_at":"taken_at"},"imageUrlField":"imageUrl"}}}',
+    ),
+    "cars": (
+        "part",
+        '{"table":"cars","baseFilter":"\\"Visible\\" = true","idColumn":"carKey","updatedAtColumn":"lastUpdated",'
+        '"fields":{"externalId":"carKey","price":"cost"},"attributes":{"make":"manufacturer","model":"model","mileage":"km",'
+        '"fuelType":"fuel_kind","enginePower":"horsepower"},"searchableColumns":["model","manufacturer"],'
+        '"filterableColumns":{"model":{"column":"model","type":"string"},"make":{"column":"manufacturer","type":"string"},'
+        '"fuelType":{"column":"fuel_kind","type":"string"},"enginePower":{"column":"horsepower","type":"number"},'
+        '"minPrice":{"column":"cost","type":"gte"},"maxPrice":{"column":"cost","type":"lte"},"mileage":{"column":"km","type":"number"}}}',
+    ),
+    "features": (
+        "lineitem",
+        '{"table":"features","idColumn":"id","fields":{"externalId":"id","price":"\\"Amount\\""},'
+        '"filterableColumns":{"minPrice":{"column":"\\"Amount\\"","type":"gte"},"maxPrice":{"column":"\\"Amount\\"","type":"lte"}}}',
+    ),
+    "photos": ("lineitem", '{"table":"photos","idColumn":"id","fields":{"externalId":"id"}}'),
+    "visits": ("lineitem", '{"table":"visits","idColumn":"id","fields":{"externalId":"id"}}'),
+}
+
+
+@BOOK.add(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{spec}' AS spec, count(*) AS row_count FROM {table}"
+        for name, (table, spec) in RENAMED_SPECS.items()
+    )
+)
+def renamed_specs(tables):
+    """Whole specs of tables in which every rule fires, with the rows that each would show the catalog."""
+    frames, specs = _renamed_specs(tables)
+    return specs.join(metadata.row_counts(frames), "table_name")
+
+
+@BOOK.add("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS external_id, o_orderpriority AS title, o_totalprice AS price, 'EUR' AS currency,
+           o_orderstatus AS status, CAST(year(o_orderdate) AS INT) AS production_year, 'c' || (o_custkey % 4) AS color,
+           (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n_images,
+           (SELECT coalesce(string_agg(l_returnflag, '|' ORDER BY l_returnflag), '') FROM lineitem WHERE l_orderkey = o_orderkey) AS features
+    FROM orders WHERE o_custkey % 3 <> 0 AND o_custkey % 5 <> 0""")
+def renamed_items_exported(tables):
+    """Items by a spec that was written, read back and used, written out as item records and read again."""
+    spark = tables.spark
+    frames, specs = _renamed_specs(tables)
+    written, out = new_path(spark, "specs"), new_path(spark, "items")
+    matching.write_specs(specs, written)
+    texts = spark.read.text(written).where(F.get_json_object("value", "$.table") == "Listings")
+    spec = ResourceSpec.from_json(texts.first()["value"])
+    Catalog(spec, frames["Listings"], frames).export(out, "json")
+    kind = (
+        "externalId string, title string, price double, currency string, status string, images array<string>, "
+        "attributes struct<year:int,color:string,features:array<string>>"
+    )
+    item = spark.read.text(out).select(F.from_json("value", kind).alias("i"))
+    return item.select(
+        F.col("i.externalId").alias("external_id"), "i.title", "i.price", "i.currency", "i.status",
+        F.col("i.attributes.year").alias("production_year"), "i.attributes.color",
+        F.size("i.images").cast("long").alias("n_images"), F.array_join("i.attributes.features", "|").alias("features"),
+    )

@@ -11,29 +11,29 @@ from pyspark.sql import functions as F
 
 # Item fields and the column names that mean them, in order of priority.
 FIELD_RULES = [
-    ("title", "^(title|name|product_?name|listing_?name)$"),
-    ("price", "^(price|cost|amount|sale_?price)$"),
-    ("currency", "^currency(_?code)?$"),
-    ("category", "^(category|type|product_?type)$"),
-    ("status", "^(status|state|listing_?status)$"),
-    ("description", "^(description|desc|details|body)$"),
+    ("title", ["^title$", "^name$", "^product_?name$", "^listing_?name$"]),
+    ("price", ["^price$", "^cost$", "^amount$", "^sale_?price$"]),
+    ("currency", ["^currency$", "^currency_?code$"]),
+    ("category", ["^category$", "^type$", "^product_?type$"]),
+    ("status", ["^status$", "^state$", "^listing_?status$"]),
+    ("description", ["^description$", "^desc$", "^details$", "^body$"]),
 ]
 # Attributes and the column names that mean them, in order of priority.
 ATTRIBUTE_RULES = [
-    ("make", "make|brand|manufacturer"),
-    ("model", "model"),
-    ("year", "^((model|production)_?)?year$"),
-    ("color", "^colou?r$"),
-    ("mileage", "^(mileage|kilometers|km|odometer)$"),
-    ("fuelType", "fuel"),
-    ("transmission", "transmission|gearbox"),
-    ("enginePower", "engine|power|hp$"),
-    ("drivetrain", "drivetrain|drive_?type|^4wd$|^awd$"),
+    ("make", ["make", "brand", "manufacturer"]),
+    ("model", ["model"]),
+    ("year", ["^year$", "^model_?year$", "^production_?year$"]),
+    ("color", ["^color$", "^colour$"]),
+    ("mileage", ["^mileage$", "^kilometers$", "^km$", "^odometer$"]),
+    ("fuelType", ["fuel"]),
+    ("transmission", ["transmission", "gearbox"]),
+    ("enginePower", ["engine", "power", "horsepower", "hp$"]),
+    ("drivetrain", ["drivetrain", "drive_?type", "^4wd$", "^awd$"]),
 ]
 # Names with one meaning.
-PUBLISHED = "^(published|is_?active|active|is_?published|visible)$"
-SOFT_DELETED = "^(deleted|removed|archived)_?at$"
-UPDATED_AT = "^((updated|modified|changed)_?at|last_?updated)$"
+PUBLISHED = ["^published$", "^is_?active$", "^active$", "^is_?published$", "^visible$"]
+SOFT_DELETED = ["^deleted_?at$", "^removed_?at$", "^archived_?at$"]
+UPDATED_AT = ["^updated_?at$", "^modified_?at$", "^last_?updated$", "^changed_?at$"]
 IMAGE = "url$|^image|^photo|^picture|^thumbnail|^src$"
 SEARCHABLE = (
     "^(title|name|product_?name|listing_?name|description|desc|details|body)$"
@@ -58,8 +58,10 @@ NUMERIC_TYPES = [
 ]
 
 
-def matches(name: Column, pattern: str) -> Column:
-    return name.rlike(f"(?i){pattern}") if "|" not in pattern else name.rlike(f"(?i)(?:{pattern})")
+def matches(name: Column, pattern: str | list[str]) -> Column:
+    """Whether a name has a pattern, or one of several, in either case."""
+    pattern = pattern if isinstance(pattern, str) else "|".join(pattern)
+    return name.rlike(f"(?i)(?:{pattern})")
 
 
 def base_type(data_type: Column) -> Column:

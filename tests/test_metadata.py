@@ -166,3 +166,21 @@ def test_keys_are_disproved_by_values_alone(spark):
     )
     keys = {r.column_name for r in profile.candidate_keys({"t": frame}).collect() if r.is_key}
     assert keys == {"id", "held", "text"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sampled_rows_state_the_true_count(spark, tmp_path, seed):
+    rows = spark.range(30_000).select("id", F.sha2(F.concat(F.lit(seed), "id"), 256).alias("text"))
+    rows.repartitionByRange(40, F.sqrt(F.col("id"))).write.parquet(str(tmp_path / "t"))
+    found = metadata.sampled_rows(spark, "t", str(tmp_path / "t"), files=10).first()
+    assert found.table_name == "t" and (found.files, found.read) == (40, 10)
+    assert 0 < found.low <= 30_000 <= found.high < 60_000 and found.low <= found.row_count <= found.high
+    whole = metadata.sampled_rows(spark, "t", str(tmp_path / "t"), files=40).first()
+    assert whole.low == whole.row_count == whole.high == 30_000
+
+
+def test_sampled_rows_of_one_file_and_of_none(spark, tmp_path):
+    spark.range(7).coalesce(1).write.parquet(str(tmp_path / "one"))
+    assert metadata.sampled_rows(spark, "t", str(tmp_path / "one")).first()[1:4] == (7, 7, 7)
+    (tmp_path / "none").mkdir()
+    assert metadata.sampled_rows(spark, "t", str(tmp_path / "none")).first()[1:4] == (0, 0, 0)
