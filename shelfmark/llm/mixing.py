@@ -59,18 +59,24 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     return ranked.select("of", "source_size", "place", F.round(target, 6).alias("target"))
 
 
-def _moment(share: Column, place: Column, schedules) -> Column:
-    """The moment by which ``share`` of a source's demand has come."""
-    rows = []
+def integrated(schedules) -> list[list[dict[str, float]]]:
+    """For each schedule its stretches between knots: where one begins, weight and slope of the demand there, and the
+    shares of the whole demand that come before its begin and its end."""
+    found = []
     for knots in schedules:
         areas = [(z[0] - a[0]) * (a[1] + z[1]) / 2 for a, z in zip(knots, knots[1:])]
         done, parts = 0.0, []
         for (t, w), (u, v), area in zip(knots, knots[1:], areas):
             slope = (v - w) / (u - t) / sum(areas) if u > t else 0.0
-            values = {"t": t, "w": w / sum(areas), "slope": slope, "done": done, "to": done + area / sum(areas)}
-            parts.append(F.struct(*(F.lit(float(x)).alias(k) for k, x in values.items())))
-            done = values["to"]
-        rows.append(F.array(*parts))
+            parts.append({"t": t, "w": w / sum(areas), "slope": slope, "done": done, "to": done + area / sum(areas)})
+            done = parts[-1]["to"]
+        found.append(parts)
+    return found
+
+
+def _moment(share: Column, place: Column, schedules) -> Column:
+    """The moment by which ``share`` of a source's demand has come."""
+    rows = [F.array(*(F.struct(*(F.lit(float(x)).alias(k) for k, x in p.items())) for p in parts)) for parts in integrated(schedules)]
     parts = F.element_at(F.array(*rows), place % F.lit(len(rows)) + 1)
     part = F.coalesce(F.filter(parts, lambda p: p["to"] > share)[0], F.element_at(parts, -1))
     rest = F.greatest(share - part["done"], F.lit(0.0))
@@ -137,3 +143,22 @@ def curriculum(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame:
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     taken = mixed.select(row.alias("row"), F.explode(f"{name}.moments").alias("moment"))
     return taken.orderBy("moment", F.col("row")[id]).select("row.*")
+
+
+def positions(mixed: DataFrame, id: str = "doc_id", name: str = "mix") -> DataFrame:
+    """The rows of ``mix``, each with the ``positions`` at which it is trained on, from 1 and in order; none for
+    a row that isn't taken. Repeated rows and rows without ids are rows each; an empty table gives an empty result.
+
+    All takings are range-sorted by moment, ties by id, and a position is a place in that order: that in its range
+    and the rows of the ranges before. Takings of a row come together again by a number of the row.
+    """
+    mixed = store(mixed, "mix")  # so that a task that is run again numbers the same rows alike
+    own, moments = mixed.columns, F.col(f"`{name}`.moments")
+    row = F.struct(*(F.col(f"`{c}`") for c in own)).alias("row")
+    numbered = mixed.select(row, moments.alias("moments")).withColumn("number", F.monotonically_increasing_id())
+    taken = numbered.select("row", "number", F.explode_outer("moments").alias("moment"))
+    order = [F.col("moment").asc_nulls_last(), F.col(f"row.`{id}`").asc_nulls_last()]
+    ranked = rank_rows(taken, order, "position")
+    at = F.sort_array(F.collect_list(F.when(F.col("moment").isNotNull(), F.col("position"))))
+    found = ranked.groupBy("number").agg(F.first("row").alias("row"), at.alias("positions"))
+    return found.select("row.*", "positions")

@@ -64,10 +64,14 @@ def op4_line_templates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """What a mix to target weights takes of each document."""
+    """What a mix to target weights takes of each document, and where in the order of training it comes first."""
     mixed = mixing.mix(_table(spark, folder, "documents"), weights=(5, 2, 1), most=3, keep=["doc_id"])
-    taken = F.col("mix.size") * F.size("mix.moments")
-    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", taken.cast("long").alias("taken"))
+    placed = mixing.positions(mixed)
+    taken = F.col("mix.size") * F.size("positions")
+    return placed.select(
+        "doc_id", "mix.size", "mix.source_size", "mix.target", taken.cast("long").alias("taken"),
+        F.get("positions", F.lit(0)).alias("first_position"),
+    )
 
 
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
@@ -138,6 +142,12 @@ QUERIES = {
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+#: The stretches of the schedules as rows, numbered; the last of each is ``final``.
+_STRETCHES = " UNION ALL ".join(
+    f"SELECT {k} AS schedule, {i} AS i, {i + 1 == len(parts)} AS final, "
+    + ", ".join(f"CAST('{float(x)!r}' AS DOUBLE) AS \"{c}\"" for c, x in part.items())
+    for k, parts in enumerate(mixing.integrated(mixing.SCHEDULES)) for i, part in enumerate(parts)
+)
 _PLAIN = r"'[^\x20\x09-\x0D]+'"
 
 SQL = {
@@ -166,7 +176,8 @@ WITH doc AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), {_PLAIN})) AS BIGINT) AS size,
     md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS held FROM doc GROUP BY source),
-ranked AS (SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w FROM src),
+numbered AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS place FROM src),
+ranked AS (SELECT *, CAST([5, 2, 1][place + 1] AS DOUBLE) AS w FROM numbered),
 steps AS (
   SELECT *, sum(held) OVER () AS total,
     coalesce(sum(3 * held) OVER (ORDER BY 3 * held / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_before,
@@ -175,15 +186,26 @@ steps AS (
 level AS (
   SELECT arg_min((total - full_before) / free, (3 * held / w, source)) AS level FROM steps
   WHERE (total - full_before) / free * w <= 3 * held),
-targets AS (SELECT source, held, round(least(w * coalesce(level, 0), 3 * held), 6) AS target FROM ranked, level),
+targets AS (SELECT source, held, place, round(least(w * coalesce(level, 0), 3 * held), 6) AS target FROM ranked, level),
 placed AS (
-  SELECT doc_id, size, held, target,
+  SELECT doc_id, size, held, target, place,
     sum(size) OVER (PARTITION BY doc.source ORDER BY digest, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start
-  FROM doc JOIN targets ON doc.source IS NOT DISTINCT FROM targets.source)
-SELECT doc_id, size, held AS source_size, CAST(target AS DOUBLE) AS target,
-  CAST(size * ((start + size / 2 < target)::INT + (start + held + size / 2 < target)::INT
-    + (start + 2 * held + size / 2 < target)::INT) AS BIGINT) AS taken
-FROM placed
+  FROM doc JOIN targets ON doc.source IS NOT DISTINCT FROM targets.source),
+passes AS (
+  SELECT *, (start + n * held + size / 2) / target AS share
+  FROM (SELECT *, unnest([0, 1, 2]) AS n FROM placed) WHERE start + n * held + size / 2 < target),
+stretch AS ({_STRETCHES}),
+met AS (
+  SELECT passes.*, stretch AS s FROM passes JOIN stretch ON schedule = place % {len(mixing.SCHEDULES)} AND ("to" > share OR final)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, n ORDER BY i) = 1),
+moments AS (
+  SELECT *, s.w + sqrt(greatest(s.w * s.w + 2 * s.slope * greatest(share - s.done, 0), 0)) AS root FROM met),
+taken AS (
+  SELECT doc_id, row_number() OVER (ORDER BY s.t + CASE WHEN root > 0 THEN 2 * greatest(share - s.done, 0) / root ELSE 0 END, doc_id) AS position
+  FROM moments)
+SELECT doc_id, size, held AS source_size, CAST(target AS DOUBLE) AS target, CAST(size * count(position) AS BIGINT) AS taken,
+  min(position) AS first_position
+FROM placed LEFT JOIN taken USING (doc_id) GROUP BY doc_id, size, held, target
 """,
     "op7_chat": r"""
 WITH rows AS (

@@ -9,7 +9,7 @@ from itertools import permutations
 import numpy as np
 import pytest
 
-from shelfmark.llm import audit, covertree, multiindex
+from shelfmark.llm import audit, covertree, mixing, multiindex
 from shelfmark.llm import text as T
 
 PLAIN = re.compile(r"[^\x20\x09-\x0D]+")
@@ -266,3 +266,22 @@ def test_cells_come_in_order_of_bounds():
     assert [x[0] for x in seen] == sorted((x[0] for x in seen), reverse=True)
     assert {x[1:] for x in seen} == {(a, b) for a in range(7) for b in range(5)}
     assert all(math.isclose(x, left[a] + right[b]) for x, a, b in seen)
+
+
+# Positions of the curriculum
+
+
+def test_positions_are_the_order_of_moments(spark):
+    draw = random.Random(2)
+    rows = [(i, " ".join(["w"] * draw.randint(0, 30)), draw.choice(["a", "b", "b", None]), 1) for i in range(200)]
+    rows += [(5, rows[5][1], rows[5][2], 1), (None, "no id", "a", 1), (None, "no id", "a", 1), (7, None, "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, position int").repartition(4)
+    mixed = mixing.mix(docs, keep=["doc_id", "position"])
+    want = [(r.doc_id, m) for r in mixed.collect() for m in r["mix"].moments]
+    want.sort(key=lambda x: (x[1], x[0] is None, x[0] or 0))
+    found = mixing.positions(mixed).collect()
+    assert len(found) == len(rows) and Counter(len(r.positions) for r in found) == Counter(len(r["mix"].moments) for r in found)
+    placed = sorted((p, r.doc_id, m) for r in found for p, m in zip(r.positions, sorted(r["mix"].moments)))
+    assert [p for p, _, _ in placed] == list(range(1, len(want) + 1))
+    assert [(i, m) for _, i, m in placed] == want
+    assert mixing.positions(mixing.mix(docs.limit(0))).count() == 0
