@@ -58,13 +58,18 @@ def _placed(df: DataFrame, order: list[Column]) -> tuple[DataFrame, list[tuple[i
     return table, starts
 
 
+def _begins(df: DataFrame, rows: list[tuple[int, object]], number: str) -> DataFrame:
+    """Ranges and what comes before them, as literal rows of the plan."""
+    values = ", ".join(f"({part}, {before})" for part, before in rows or [(0, 0)])
+    found = df.sparkSession.sql(f"SELECT CAST(a AS bigint) AS {number}, CAST(b AS bigint) AS _before FROM VALUES {values} AS t(a, b)")
+    return found if rows else found.where(F.lit(False))
+
+
 def rank_rows(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFrame:
     """``df`` with the 1-based position of each row in ``order``: its place in its range
     partition plus the rows in the partitions before."""
     table, starts = _placed(df, order)
-    begins = df.sparkSession.createDataFrame(
-        [(number, before) for number, before, _ in starts], "_part bigint, _before bigint"
-    )
+    begins = _begins(df, [(number, before) for number, before, _ in starts], "_part")
     in_part = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
         table.withColumn("_part", F.shiftright("_place", _ROW_BITS))
@@ -83,7 +88,7 @@ def running_sum(df: DataFrame, order: list[Column], amount: Column, total: str)
     for number, held in sorted(table.groupBy("_range").agg(F.sum(amount)).collect()):
         begins.append((number, before))
         before += held
-    begins = df.sparkSession.createDataFrame(begins, "_range bigint, _before bigint")
+    begins = _begins(df, begins, "_range")
     along = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     summed = table.withColumn(total, F.sum(amount).over(along)).join(F.broadcast(begins), "_range")
     return summed.withColumn(total, F.col("_before") + F.col(total)).drop("_range", "_place", "_before")
