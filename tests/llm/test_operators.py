@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -359,6 +360,47 @@ def test_main_text_without_an_article():
     assert html_text.main_text(pair) == f"{(text * 6).strip()}\n{text.strip()}"
 
 
+def test_main_text_keeps_what_only_sounds_like_boilerplate():
+    text = "Many words of the text stand here. " * 20
+    inner = {
+        '<pre><code>x = 1 <span class="token comment"># a note</span></code></pre>': "x = 1 # a note",
+        f'<section class="related-work"><h2>Related work</h2><p>{text}</p></section>': f"Related work\n{text.strip()}",
+        '<div class="alert"><p>Mind this.</p></div>': "Mind this.",
+        '<div class="related-posts"><p>Another post</p></div>': None,
+        '<div id="commentList"><p>I liked all of it.</p></div>': None,
+    }
+    for html, kept in inner.items():
+        page = f"<body><nav><a href=x>m</a></nav><article><h1>T</h1><p>{text}</p>{html}<p>{text}</p></article></body>"
+        want = ["T", text.strip(), *([kept] if kept else []), text.strip()]
+        assert html_text.main_text(page) == "\n".join(want)
+    assert html_text.main_text(f'<body><div id="search-trees-article"><h1>T</h1><p>{text}</p></div></body>') == f"T\n{text.strip()}"
+
+
+@pytest.mark.parametrize("page", ["<i>" * 100000 + "x", "<b><div>" + "<i>" * 50000 + "x</b>" * 50000, "<div>t " * 50000 + "</div>" * 50000])
+def test_main_text_of_deep_pages_takes_time_by_length(page):
+    began = time.perf_counter()
+    assert html_text.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
+def test_main_text_of_planted_pages_without_an_article():
+    """Recall and precision by words, over layouts of one text among menus, teasers, notices and comments."""
+    dice = random.Random(8)
+    hit = found = wanted = 0
+    for _ in range(60):
+        body = [" ".join(f"w{dice.randrange(500)}" for _ in range(dice.randrange(8, 90))) + "." for _ in range(dice.randrange(4, 14))]
+        links = "".join(f"<li><a href=/{i}>Page {i} of many</a>" for i in range(dice.randrange(3, 20)))
+        around = [f"<div class=menu><ul>{links}</ul></div>", f"<div><ul>{links}</ul></div>", "<div class=ad><p>Buy it now</p></div>"]
+        dice.shuffle(around)
+        comments = "<div class=comments><p>" + "A reader says what a reader says. " * 9 + "</p></div>"
+        holder = dice.choice(["<div class=post>%s</div>", "<div><div>%s</div></div>", "<table><tr><td>%s</td></tr></table>"])
+        page = f"<body>{around[0]}{holder % ''.join(f'<p>{x}</p>' for x in body)}{around[1]}{comments}{around[2]}<div class=footer>(c) us</div></body>"
+        got = Counter(html_text.main_text(page).split())
+        want = Counter(" ".join(body).split())
+        hit, found, wanted = hit + (got & want).total(), found + got.total(), wanted + want.total()
+    assert hit >= 0.95 * wanted and hit >= 0.95 * found
+
+
 def test_main_text_of_several_articles():
     text = "Many words of the text. " * 20
     both = f"<body><div>Unmarked</div><article><p>{text * 5}</article><article><h2>Second</h2><p>{text}</article><article>End</article>"
