@@ -5,16 +5,22 @@ language and source the minimum-covariance-determinant estimate gives a centre a
 covariance that up to a quarter of bad rows cannot move; a row whose Mahalanobis distance from
 them is improbable is rejected.
 
-The estimate starts at the coordinates' medians and goes on by concentration steps. A step sums
-counts, vectors and products by group and by bin of the distance, which combines before
-the shuffle, and keeps the bins nearest to the centre that hold the wanted share of the group. So a
-step is one aggregation over narrow rows for groups of any size, no group meets in a task,
+The estimate is the least determinant that concentration steps reach from several starts: the coordinates'
+medians, two correlations that far rows can't bend (of hyperbolic tangents and of spatial signs), and small subsets by
+hash. All starts go two steps, the best two of a pool go on until their determinant falls no more, the lesser one counts.
+The determinant is that of the covariance with the least spreads added, which keeps it above nothing where most rows are
+equal in a coordinate; a step never raises it.
+
+A step sums counts, vectors and products by pool, start and bin of the distance, which combines before
+the shuffle. The bins nearest to the centre that hold the wanted share of the pool count, the last one in
+proportion. So a step is one aggregation over narrow rows for pools of any size, no pool meets in a task,
 and as vectors are whole multiples of 1/65536 and sums exact, every run gives the same verdicts.
 """
 
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 from functools import partial
 from statistics import NormalDist
 
@@ -32,12 +38,14 @@ LEAST_WORDS, MOST_REPEATED = 20, 30
 WINDOW = 8
 #: Groups of fewer rows are pooled by language, and such pools with each other.
 LEAST_GROUP = 60
-#: Share of a group that the estimate rests on, and concentration steps.
-SHARE, STEPS = 0.75, 3
+#: Share of a group that the estimate rests on.
+SHARE = 0.75
+#: Starts from subsets, rows of one in expectation, steps that all starts take and starts that go on.
+SUBSETS, SUBSET_ROWS, FIRST_STEPS, BEST = 4, 4 * 7, 2, 2
+#: Fall of a determinant's logarithm under which a start has converged, and bins to an octave of the distance.
+FALL, BINS = 1e-4, 64
 #: How improbable the distance of a rejected row is for a sound one.
 IMPROBABLE = 1e-6
-#: Shares in shorter texts vary more by chance; their squared distance counts less in proportion.
-STEADY_WORDS = 100
 #: Coordinates and the least spread each is taken to have.
 COORDINATES = {"symbols": 0.1, "word_length": 0.06, "marks": 0.1, "capitals": 0.08, "lines": 0.15, "windows": 0.15}
 NAMES = tuple(COORDINATES)
@@ -167,38 +175,70 @@ def _shape(covariance: np.ndarray) -> np.ndarray:
 
 
 _PARAMETERS = [f"m{i}" for i in range(SIZE)] + [f"l{i}{j}" for i, j in _PAIRS]
-_SCHEMA = "pool string, " + ", ".join(f"{name} double" for name in _PARAMETERS)
+_SCHEMA = "pool string, start int, logdet double, done boolean, " + ", ".join(f"{name} double" for name in _PARAMETERS)
+_FIELDS = ["pool", "start", "logdet", "done", *_PARAMETERS]
+#: Scores are taken in units of 1/4096, so that sums of products are exact.
+_SCORE = 4096
 
 
-def _row(pool: str, centre: np.ndarray, covariance: np.ndarray) -> list:
+def _row(pool: str, start: int, centre: np.ndarray, covariance: np.ndarray, known: bool = True) -> list:
     shape = _shape(covariance)
-    return [pool, *centre.tolist(), *(float(shape[i, j]) for i, j in _PAIRS)]
+    logdet = -2 * float(np.log(np.diag(shape)).sum()) if known else math.inf
+    return [pool, start, logdet, False, *centre.tolist(), *(float(shape[i, j]) for i, j in _PAIRS)]
 
 
 def _started(frames):
-    """Centre and spread of each pool from its medians."""
+    """The starts of each pool from its medians, with correlations of scores that are bounded."""
     for frame in frames:
         found = []
         for row in frame.itertuples(index=False):
             spread = np.array([getattr(row, f"s{i}") for i in range(SIZE)], float) / UNIT * 1.4826
             centre = np.array([getattr(row, f"c{i}") for i in range(SIZE)], float) / UNIT
-            found.append(_row(row.pool, centre, np.diag(spread**2)))
-        yield pd.DataFrame(found, columns=["pool", *_PARAMETERS])
+            found.append(_row(row.pool, 0, centre, np.diag(spread**2), known=False))
+            for start, kind in enumerate(("t", "g"), start=1):
+                products = np.zeros((SIZE, SIZE))
+                for i, j in _PAIRS:
+                    products[i, j] = products[j, i] = getattr(row, f"{kind}{i}{j}")
+                sides = np.sqrt(np.maximum(np.diag(products), 1.0))
+                alike = products / np.outer(sides, sides)
+                np.fill_diagonal(alike, 1.0)
+                found.append(_row(row.pool, start, centre, alike * np.outer(spread, spread), known=False))
+        yield pd.DataFrame(found, columns=_FIELDS)
+
+
+def _moments(n, sums: list, products: list) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance; whole numbers and fractions up to the last division."""
+    covariance = np.zeros((SIZE, SIZE))
+    for (i, j), product in zip(_PAIRS, products):
+        covariance[i, j] = covariance[j, i] = float((n * product - sums[i] * sums[j]) / Fraction(n * n * UNIT * UNIT))
+    return np.array([float(Fraction(x) / (n * UNIT)) for x in sums]), covariance
+
+
+def _subset(frames):
+    """A start from each subset's moments."""
+    for frame in frames:
+        found = []
+        for row in frame.itertuples(index=False):
+            values = [int(getattr(row, c)) for c in _SUMS]
+            centre, covariance = _moments(int(row.n), values[:SIZE], values[SIZE:])
+            found.append(_row(row.pool, row.start, centre, covariance, known=False))
+        yield pd.DataFrame(found, columns=_FIELDS)
 
 
 def _concentrated(frames):
-    """Centre and covariance of each pool from exact sums over its nearest rows."""
+    """Each start moved to the moments of its nearest rows, or done where this lowers the determinant no more."""
     for frame in frames:
         found = []
         for row in frame.itertuples(index=False):
-            n = int(row.n)
-            sums = [int(getattr(row, f"s{i}")) for i in range(SIZE)]
-            covariance = np.zeros((SIZE, SIZE))
-            for i, j in _PAIRS:  # whole numbers up to the last division
-                top = n * int(getattr(row, f"p{i}{j}")) - sums[i] * sums[j]
-                covariance[i, j] = covariance[j, i] = top / (n * n * UNIT * UNIT)
-            found.append(_row(row.pool, np.array([s / (n * UNIT) for s in sums]), covariance * NARROW))
-        yield pd.DataFrame(found, columns=["pool", *_PARAMETERS])
+            part = Fraction(int(row.wanted) - int(row.n_in), int(row.n_edge))
+            values = [int(getattr(row, f"{c}_in")) + part * int(getattr(row, f"{c}_edge")) for c in _SUMS]
+            centre, covariance = _moments(int(row.wanted), values[:SIZE], values[SIZE:])
+            moved = _row(row.pool, row.start, centre, covariance * NARROW)
+            moved[3] = moved[2] > row.logdet - FALL
+            if moved[2] > row.logdet:
+                moved = [row.pool, row.start, row.logdet, True, *(getattr(row, name) for name in _PARAMETERS)]
+            found.append(moved)
+        yield pd.DataFrame(found, columns=_FIELDS)
 
 
 def _medians(rows: DataFrame, columns: list[str], scale: int) -> DataFrame:
@@ -226,6 +266,75 @@ def _distance():
     return total
 
 
+_SUMS = [f"s{i}" for i in range(SIZE)] + [f"p{i}{j}" for i, j in _PAIRS]
+
+
+def _summed():
+    """Exact sums of vectors and of products; the names are those of ``_SUMS``."""
+    sums = [F.sum(F.col(name)).alias(f"s{i}") for i, name in enumerate(NAMES)]
+    products = [(F.col(NAMES[i]) * F.col(NAMES[j])).cast("decimal(20,0)") for i, j in _PAIRS]
+    return [*sums, *(F.sum(x).cast("decimal(38,0)").alias(f"p{i}{j}") for x, (i, j) in zip(products, _PAIRS))]
+
+
+def _step(sound: DataFrame, starts: DataFrame) -> DataFrame:
+    """One concentration step of each start."""
+    binned = sound.join(starts, "pool").withColumn("bin", F.floor(F.log2(1 + _distance()) * BINS))
+    binned = binned.groupBy("pool", "start", "bin").agg(F.count("*").alias("n"), *_summed())
+    own = Window.partitionBy("pool", "start")
+    upto = F.sum("n").over(own.orderBy("bin"))
+    binned = binned.withColumn("upto", upto).withColumn("wanted", F.ceil(SHARE * F.sum("n").over(own)))
+    near = binned.where(F.col("upto") - F.col("n") < F.col("wanted"))
+    inside = F.col("upto") < F.col("wanted")
+    parts = [
+        F.coalesce(F.sum(F.when(here, F.col(c))), F.lit(0)).alias(f"{c}_{name}")
+        for name, here in (("in", inside), ("edge", ~inside))
+        for c in ("n", *_SUMS)
+    ]
+    near = near.groupBy("pool", "start").agg(F.max("wanted").alias("wanted"), *parts)
+    return near.join(starts, ["pool", "start"]).mapInPandas(_concentrated, _SCHEMA)
+
+
+def estimates(sound: DataFrame) -> DataFrame:
+    """The estimate of each ``pool``: centre, triangle of the shape and logarithm of the determinant.
+
+    ``sound`` has the pool of each row and its vector. Pools of any size share the same few jobs; after
+    them only starts that still fall are worked on, and each fall is at least ``FALL``, so there is an end.
+    """
+    centres = _medians(sound, list(NAMES), 64)
+    off = [F.abs(F.col(name) - F.col(f"c{i}")).alias(name) for i, name in enumerate(NAMES)]
+    spreads = _medians(sound.join(centres, "pool").select("pool", *off), list(NAMES), 64)
+    spreads = spreads.select("pool", *(F.col(f"c{i}").alias(f"s{i}") for i in range(SIZE)))
+    middles = store(centres.join(spreads, "pool"), "medians")
+
+    scores = [
+        (F.col(name) - F.col(f"c{i}")) / F.greatest(F.col(f"s{i}") * 1.4826, F.lit(COORDINATES[name] * UNIT))
+        for i, name in enumerate(NAMES)
+    ]
+    scored = sound.join(middles, "pool").select("pool", *(x.alias(f"z{i}") for i, x in enumerate(scores)))
+    length = F.greatest(F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(SIZE)), F.lit(0.0))), F.lit(1e-9))
+    bent = [F.round(F.tanh(f"z{i}") * _SCORE).cast("long").alias(f"t{i}") for i in range(SIZE)]
+    turned = [F.round(F.col(f"z{i}") / length * _SCORE).cast("long").alias(f"g{i}") for i in range(SIZE)]
+    products = [F.sum(F.col(f"{k}{i}") * F.col(f"{k}{j}")).alias(f"{k}{i}{j}") for k in "tg" for i, j in _PAIRS]
+    alike = scored.select("pool", *bent, *turned).groupBy("pool").agg(F.count("*").alias("size"), *products)
+    alike = store(alike, "scores")
+    named = middles.join(alike, "pool").mapInPandas(_started, _SCHEMA)
+
+    every = F.greatest(F.floor(F.col("size") / SUBSET_ROWS), F.lit(SUBSETS))
+    drawn = sound.join(alike.select("pool", "size"), "pool").withColumn("start", F.pmod(F.xxhash64(*NAMES), every))
+    drawn = drawn.where(F.col("start") < SUBSETS).withColumn("start", (F.col("start") + 3).cast("int"))
+    drawn = drawn.groupBy("pool", "start").agg(F.count("*").alias("n"), *_summed()).mapInPandas(_subset, _SCHEMA)
+
+    state = store(named.unionByName(drawn), "estimate")
+    for _ in range(FIRST_STEPS):
+        state = store(_step(sound, state), "estimate")
+    place = F.row_number().over(Window.partitionBy("pool").orderBy("logdet", "start"))
+    state = store(state.withColumn("place", place).where(F.col("place") <= BEST).drop("place"), "estimate")
+    while not (moving := state.where("not done")).isEmpty():
+        state = store(state.where("done").unionByName(_step(sound, moving)), "estimate")
+    least = F.min_by(F.struct("start", "logdet", *_PARAMETERS), F.struct("logdet", "start")).alias("e")
+    return state.groupBy("pool").agg(least).select("pool", "e.*")
+
+
 def _pools(rows: DataFrame) -> DataFrame:
     """For each language and source the pool it is estimated in."""
     groups = rows.groupBy("lang_key", "source_key").agg(F.count("*").alias("n"))
@@ -268,7 +377,8 @@ def quality(
 
     * ``base_failed``: fewer than 20 words, or over 30 % of them in repeated windows of eight.
     * ``distance``: squared distance from the pool's estimate; null if the base failed, or if even the
-      rest pool has fewer than ``LEAST_GROUP`` rows, where nothing more is asked.
+      rest pool has fewer than ``LEAST_GROUP`` rows, where nothing more is asked. Smaller groups are pooled.
+    * A text of any length is measured whole; a task holds one such text and its hashes at once.
     * A null or empty text has no words and fails. Null languages and sources are groups of
       their own. Equal rows get equal verdicts; an empty table gives an empty result.
     * Columns of any name pass unchanged; one called ``name`` is replaced.
@@ -279,37 +389,17 @@ def quality(
 
     sound = rows.where("not base_failed").select("lang_key", "source_key", *NAMES)
     pools = _pools(sound)
-    sound = sound.join(pools, ["lang_key", "source_key"])
+    pools = store(pools, "pools")
+    sound = sound.join(pools, ["lang_key", "source_key"]).select("pool", *NAMES)
     size = sound.groupBy("pool").agg(F.count("*").alias("size"))
-    centres = _medians(sound, list(NAMES), 64)
-    off = sound.join(centres, "pool").select(
-        "pool", *(F.abs(F.col(name) - F.col(f"c{i}")).alias(name) for i, name in enumerate(NAMES))
-    )
-    spreads = _medians(off, list(NAMES), 64)
-    spreads = spreads.select("pool", *(F.col(f"c{i}").alias(f"s{i}") for i in range(SIZE)))
-    estimate = store(centres.join(spreads, "pool").mapInPandas(_started, _SCHEMA), "estimate")
-
-    sums = [F.sum(F.col(name)).alias(f"s{i}") for i, name in enumerate(NAMES)]
-    sums += [
-        F.sum((F.col(NAMES[i]) * F.col(NAMES[j])).cast("decimal(20,0)")).cast("decimal(38,0)").alias(f"p{i}{j}")
-        for i, j in _PAIRS
-    ]
-    for _ in range(STEPS):
-        binned = sound.join(estimate, "pool").withColumn("bin", F.floor(F.log2(1 + _distance()) * 32))
-        binned = binned.groupBy("pool", "bin").agg(F.count("*").alias("n"), *sums)
-        before = F.sum("n").over(Window.partitionBy("pool").orderBy("bin")) - F.col("n")
-        whole = F.sum("n").over(Window.partitionBy("pool"))
-        near = binned.withColumn("before", before).withColumn("whole", whole).where(F.col("before") < SHARE * F.col("whole"))
-        near = near.groupBy("pool").agg(*(F.sum(c).alias(c) for c in binned.columns if c not in ("pool", "bin")))
-        estimate = store(near.mapInPandas(_concentrated, _SCHEMA), "estimate")
+    estimate = estimates(sound)
 
     judged = pools.join(estimate, "pool").join(size.where(F.col("size") >= LEAST_GROUP), "pool")
     if not narrow:  # texts are measured again, which costs less than to join them to their counts
         rows = _rows(docs, keep, text, lang, source)
     out = rows.join(judged, ["lang_key", "source_key"], "left")
     out = out.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
-    steady = F.least(F.lit(1.0), F.col("n_words") / STEADY_WORDS)
-    kept = ~F.col("base_failed") & (F.coalesce(F.col("distance") * steady, F.lit(0.0)) <= LIMIT)
+    kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= LIMIT)
     result = F.struct(*COUNTS, "base_failed", kept.alias("kept"), "distance").alias(name)
     columns = [F.col("text" if c == text else f"c{i}").alias(c) for i, c in enumerate(keep)]
     return out.select(*columns, result)

@@ -6,6 +6,7 @@ import re
 import time
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from shelfmark.llm import chat, decontaminate, html_text, mixing, neardup, outliers, repeats, sharding, templates, tokens
@@ -229,6 +230,56 @@ def test_quality_counts_and_verdicts(spark, docs, rows):
     assert {r.doc_id for r in kept.where("quality.kept").collect()} == set(range(120))
 
 
+def _least_determinant(x, dice, starts=60):
+    """Minimum covariance determinant over all rows: exact steps from many small random subsets."""
+    wanted = -(-3 * len(x) // 4)
+    floor = np.diag(np.array(list(outliers.COORDINATES.values())) ** 2)
+    best = None
+    for _ in range(starts):
+        chosen, last = dice.choice(len(x), 8, replace=False), np.inf
+        while True:
+            centre = x[chosen].mean(0)
+            cov = np.cov(x[chosen].T, bias=True) * (outliers.NARROW if len(chosen) == wanted else 1.0) + floor
+            logdet = np.linalg.slogdet(cov)[1] if len(chosen) == wanted else np.inf
+            if len(chosen) == wanted and logdet > last - 1e-9:
+                break
+            last = logdet
+            far = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+            chosen = np.argsort(far, kind="stable")[:wanted]
+        if best is None or last < best[0]:
+            best = last, far
+    return best
+
+
+def test_quality_estimate_is_the_least_determinant(spark):
+    """Against numpy over all rows: pools of one cloud, of a cloud with a far cluster, and of equal rows with some others."""
+    dice = np.random.default_rng(3)
+    spread = np.array(list(outliers.COORDINATES.values())) * 3
+    turn = np.linalg.qr(dice.normal(size=(6, 6)))[0]
+    clouds = {
+        "one": dice.normal(size=(400, 6)) * spread @ turn + 2,
+        "two": np.vstack([dice.normal(size=(330, 6)) * spread @ turn, dice.normal(size=(80, 6)) * 0.02 + spread * 8]),
+        "equal": np.vstack([np.ones((200, 6)), 1 + dice.normal(size=(40, 6)) * spread]),
+    }
+    whole = {pool: np.rint(x * outliers.UNIT).astype(np.int64) for pool, x in clouds.items()}
+    rows = [(pool, *map(int, row)) for pool, x in whole.items() for row in x]
+    kind = "pool string, " + ", ".join(f"{name} long" for name in outliers.NAMES)
+    got = {r.pool: r for r in outliers.estimates(spark.createDataFrame(rows, kind)).collect()}
+    assert set(got) == set(clouds)
+    for pool, x in whole.items():
+        x, r = x / outliers.UNIT, got[pool]
+        logdet, want = _least_determinant(x, dice)
+        assert r.logdet <= logdet + 0.01
+        shape = np.zeros((6, 6))
+        for i, j in outliers._PAIRS:
+            shape[i, j] = r[f"l{i}{j}"]
+        off = (x - [r[f"m{i}"] for i in range(6)]) @ shape.T
+        far = (off**2).sum(1)
+        assert ((far > outliers.LIMIT) == (want > outliers.LIMIT)).mean() > 0.99
+        if pool == "two":  # the cluster is not in the estimate
+            assert far[330:].min() > outliers.LIMIT > np.quantile(far[:330], 0.95)
+
+
 def test_chi_square_limits():
     assert outliers.chi_square_limit(0.75, 6) == pytest.approx(7.8408, abs=1e-3)
     assert outliers.chi_square_limit(0.999999, 6) == pytest.approx(38.258, abs=1e-2)
