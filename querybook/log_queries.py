@@ -9,7 +9,7 @@ from querybook.registry import Book
 from querybook.specs import SUPPLIER, catalog
 from shelfmark import LogRequest, PageRequest
 from shelfmark.functions.columns import iso_utc
-from shelfmark.operators import logs
+from shelfmark.operators import limits, logs
 from shelfmark.operators.lookup import lookup_entries
 from shelfmark.session import new_path
 from shelfmark.sources import requestlog
@@ -75,6 +75,38 @@ def rate_breach(tables):
     return found.select("window_start", F.col("ip").alias("user_id"), F.col("requests").alias("n"))
 
 
+LIMITER_SQL = """
+    WITH RECURSIVE moments AS (SELECT DISTINCT user_id, ts FROM events WHERE ts IS NOT NULL),
+    hops AS (
+        SELECT a.user_id, a.ts, min(b.ts) AS next_ts
+        FROM moments a JOIN moments b ON a.user_id = b.user_id AND b.ts >= a.ts + INTERVAL 1 DAY
+        GROUP BY 1, 2),
+    begins AS (
+        SELECT user_id, min(ts) AS ts FROM moments GROUP BY user_id
+        UNION ALL
+        SELECT b.user_id, h.next_ts FROM begins b JOIN hops h ON h.user_id = b.user_id AND h.ts = b.ts),
+    windows AS (
+        SELECT b.ts AS window_start, b.user_id, count(*) AS requests, greatest(count(*) - 3, 0) AS refused
+        FROM begins b JOIN events e ON e.user_id = b.user_id AND e.ts >= b.ts AND e.ts < b.ts + INTERVAL 1 DAY
+        GROUP BY 1, 2)
+    SELECT * FROM windows"""
+
+
+def _clients(tables):
+    return tables.events.select("ts", F.col("user_id").alias("ip"))
+
+
+@BOOK.add(LIMITER_SQL)
+def limiter_windows(tables):
+    """Windows that begin with a client's first request after the one before, of a day each."""
+    return limits.limiter_windows(_clients(tables), 3, 86_400).withColumnRenamed("ip", "user_id")
+
+
+@BOOK.add(f"{LIMITER_SQL} WHERE refused > 0")
+def limiter_breaches(tables):
+    return limits.limiter_breaches(_clients(tables), 3, 86_400).withColumnRenamed("ip", "user_id")
+
+
 ENTRY_SQL = f"""
     SELECT {TS_SQL} AS ts, '/events/' || event_type || '/' || event_id AS path,
            json_extract_string(props, '$.k') AS k, CAST(floor(value) AS BIGINT) AS ms,
