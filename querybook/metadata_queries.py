@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from querybook.registry import Book
 from shelfmark import Catalog, ResourceSpec
-from shelfmark.operators import dependencies, matching, profile
+from shelfmark.operators import dependencies, matching, profile, sketches
 from shelfmark.session import new_path
 from shelfmark.sources import metadata
 
@@ -109,6 +110,69 @@ def column_profile_distinct(tables):
     return profile.column_profile(tables.named(TABLES))
 
 
+SKETCHED = ("customer", "orders", "lineitem", "events", "documents")
+DISTINCT_SQL = _union(
+    "SELECT '{t}' AS table_name, a.column_name, (SELECT count(*) FROM {t}) AS row_count, a.n AS filled, b.d AS distinct_count FROM "
+    "(UNPIVOT (SELECT count(COLUMNS(*)) FROM {t}) ON COLUMNS(*) INTO NAME column_name VALUE n) a JOIN "
+    "(UNPIVOT (SELECT count(DISTINCT COLUMNS(*)) FROM {t}) ON COLUMNS(*) INTO NAME column_name VALUE d) b "
+    "ON a.column_name = b.column_name",
+    SKETCHED,
+)
+
+
+def _exact_distinct(name, df):
+    """Distinct values of every column, by one count over all columns' hashes."""
+    pairs = ", ".join(f"'{c}', CASE WHEN {c} IS NOT NULL THEN xxhash64({c}) END" for c in df.columns)
+    values = df.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (column_name, value)").distinct()
+    counts = values.groupBy("column_name").agg(F.count("value").alias("distinct_count"))
+    return counts.select(F.lit(name).alias("table_name"), "*")
+
+
+@BOOK.add(f"SELECT *, true AS is_close FROM ({DISTINCT_SQL})")
+def sketched_profile(tables):
+    """Profiles merged from sketches of each file, with the exact distinct counts and whether the estimates are within 4% of them."""
+    spark, found = tables.spark, []
+    for name, df in tables.named(SKETCHED).items():
+        source, folder = f"{tables.folder}/{name}.parquet", new_path(spark, f"sketches-{name}")
+        sketches.refresh(spark, source, folder)
+        exact = _exact_distinct(name, df)
+        found.append(sketches.sketched_profile(spark, source, folder).join(exact, "column_name"))
+    close = F.abs(F.col("approx_distinct") - F.col("distinct_count")) <= 0.04 * F.col("distinct_count")
+    rows = reduce(lambda a, b: a.unionByName(b), found)
+    return rows.select("table_name", "column_name", "row_count", "filled", "distinct_count", close.alias("is_close"))
+
+
+@BOOK.add("""
+    WITH numbers AS (
+        SELECT unnest(['event_id', 'user_id', 'value']) AS column_name,
+               unnest([CAST(event_id AS DOUBLE), CAST(user_id AS DOUBLE), value]) AS value FROM events)
+    SELECT column_name, count(*) AS row_count, count(value) AS filled, true AS first_read_part, true AS second_read_rest,
+           true AS is_median
+    FROM numbers GROUP BY column_name""")
+def sketches_refreshed(tables):
+    """Medians of a table that grew between two refreshes, and whether the ranks they stand for hold within 2% in all its rows."""
+    spark, events = tables.spark, tables.events
+    source, folder = new_path(spark, "growing"), new_path(spark, "growing-sketches")
+    early = F.coalesce(F.col("ts") < F.lit("2024-01-20").cast("timestamp"), F.lit(True))
+    events.where(early).write.parquet(source)
+    first = sketches.refresh(spark, source, folder)
+    files = len(spark.read.parquet(source).inputFiles())
+    events.where(~early).write.mode("append").parquet(source)
+    second = sketches.refresh(spark, source, folder)
+    rest = len(spark.read.parquet(source).inputFiles()) - files
+    merged = sketches.sketched_profile(spark, source, folder).where("quantiles IS NOT NULL")
+    values = events.selectExpr("stack(3, 'event_id', double(event_id), 'user_id', double(user_id), 'value', value) AS (column_name, v)")
+    median = F.col("quantiles")[0]
+    ranks = values.join(F.broadcast(merged), "column_name").groupBy("column_name", "row_count", "filled").agg(
+        F.count_if(F.col("v") < median).alias("below"), F.count_if(F.col("v") <= median).alias("up_to"), F.count("v").alias("n")
+    )
+    holds = (F.col("below") <= 0.52 * F.col("n")) & (F.col("up_to") >= 0.48 * F.col("n"))
+    return ranks.select(
+        "column_name", "row_count", "filled", F.lit(first == files).alias("first_read_part"),
+        F.lit(second == rest and rest > 0).alias("second_read_rest"), holds.alias("is_median"),
+    )
+
+
 @BOOK.add(
     "SELECT table_name, column_name, n = d AND n = r AS is_key FROM ("
     + _union(
