@@ -11,6 +11,9 @@ A bucket of equal bands is searched in two rounds. First every member is compare
 smallest one only. Groups of near copies, of any size, fall together there. Then members of
 one bucket that are still in different components are compared with each other inside the join: by
 their sketches, and by the parities of their whole sets, which tell a similarity of 0.8 from 0.77.
+Only members outside of a bucket's largest component take part on one side, and ``TOGETHER`` of them at
+most. The members of a bucket with more, such as texts of one mould that are all nearly similar enough, are met by their
+rarest shingles: two sets at the limit share one among so many of the rarest that others seldom share any.
 So nothing is missed, and no group is written out as pairs.
 """
 
@@ -22,7 +25,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm import text as T
@@ -38,6 +41,8 @@ SAMPLES = BANDS * ROWS
 BITS = 1024
 #: Bits of the parities of a whole set; over some ten thousand shingles they tell less and less apart.
 SET_BITS = 4096
+#: The most members outside of a bucket's largest component that all others of the bucket are compared with.
+TOGETHER = 100
 #: How far below the limit, in standard errors of the estimate, a sketch may lie.
 MARGIN = 6.0
 
@@ -161,12 +166,16 @@ def _confirmed(width: int, percent: int, batches):
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _texts_of(nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """One text of each of the nodes."""
+    wanted = classes.select("node", F.col("least.key").alias("key"), F.col("least.id").alias("first_id")).join(nodes, "node")
+    return wanted.join(texts, (wanted["key"] == texts["key"]) & wanted["first_id"].eqNullSafe(texts["id"])).select("node", "text")
+
+
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs of nodes ``a`` and ``b`` that the full sets of their texts confirm."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    wanted = classes.select("node", F.col("least.key").alias("key"), F.col("least.id").alias("first_id")).join(ends.distinct(), "node")
-    held = wanted.join(texts, (wanted["key"] == texts["key"]) & wanted["first_id"].eqNullSafe(texts["id"])).select("node", "text")
-    held = store(held, "texts")
+    held = store(_texts_of(ends.distinct(), classes, texts), "texts")
     left = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = held.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return (
@@ -178,6 +187,42 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, p
     )
 
 
+def _exploded(width: int, batches):
+    """A row for each shingle of each node's text."""
+    for batch in batches:
+        for rows, sets in shingle_sets(batch, "text", width):
+            sizes = np.array([len(x) for x in sets], np.int64)
+            nodes = rows["node"].take(pa.array(np.repeat(np.arange(len(sets)), sizes)))
+            shingles = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [nodes, pa.array(np.repeat(sizes, sizes)), pa.array(shingles)], ["node", "n", "shingle"]
+            )
+
+
+def _sharing(nodes: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs ``x`` and ``y`` of the nodes, in different components, that share a shingle among their rarest ones.
+
+    With all shingles in one order, two sets at the limit share one among the first of each: of the larger set it is one of the
+    first ``n - ceil(n * limit) + 1``, of the smaller one of the first ``n - ceil(n * 2 * limit / (1 + limit)) + 1``. The order is
+    by how many of the nodes have a shingle, so what a mould's texts have in common comes last.
+    """
+    held = _texts_of(nodes.select("node"), classes, texts)
+    rows = store(held.mapInArrow(partial(_exploded, width), "node binary, n long, shingle long"), "shingles")
+    shared = store(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held_by")).where("held_by > 1"), "shared")
+    ranked = rows.join(shared, "shingle", "left").withColumn(
+        "place", F.row_number().over(Window.partitionBy("node").orderBy(F.asc_nulls_first("held_by"), "shingle"))
+    )
+    larger = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
+    smaller = F.expr(f"n - (n * {2 * percent} + {99 + percent}) div {100 + percent} + 1")
+    first = ranked.where(F.col("held_by").isNotNull() & (F.col("place") <= larger)).withColumn("few", F.col("place") <= smaller)
+    first = store(first.select("node", "n", "shingle", "few").join(nodes, "node"), "rarest")
+    x = first.where("few").select("shingle", *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "component")))
+    y = first.select("shingle", *(F.col(c).alias(f"{c}_y") for c in ("node", "n", "component")))
+    order = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y")))
+    met = order & (100 * F.col("n_x") >= percent * F.col("n_y")) & (F.col("component_x") != F.col("component_y"))
+    return x.join(y, (x["shingle"] == y["shingle"]) & met).select(F.col("node_x").alias("x"), F.col("node_y").alias("y")).distinct()
+
+
 def _differing(x: str, y: str):
     """How many bits of two sketches differ."""
     each = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
@@ -261,17 +306,37 @@ def _judged(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
         "bucket", "node", (F.col("node") == F.col("center")).alias("met"), F.coalesce("component", "node").alias("component")
     )
     placed = store(placed, "placed")
-    apart = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    apart = placed.where("not met").join(apart.where("x <> y").select("bucket"), "bucket")
-    apart = store(apart.drop("met").join(classes.drop("least"), "node"), "apart")
-    left = apart.select("bucket", *(F.col(c).alias(f"{c}_a") for c in apart.columns if c != "bucket"))
-    right = apart.select("bucket", *(F.col(c).alias(f"{c}_b") for c in apart.columns if c != "bucket"))
+    sizes = placed.where("not met").groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("largest"), (F.sum("n") - F.max("n")).alias("others")
+    )
+    sizes = store(sizes.where("others > 0"), "sizes")
+    apart = placed.where("not met").drop("met").join(sizes, "bucket")
+    apart = store(apart.withColumn("other", F.col("component") != F.col("largest")).drop("largest"), "apart")
+
+    def near_and_alike(a: str, b: str):
+        both = F.col(f"n_shingles_{a}") + F.col(f"n_shingles_{b}")
+        alike = _differing(f"parities_{a}", f"parities_{b}") <= _most_parities(both, percent)
+        return (_differing(f"sketch_{a}", f"sketch_{b}") <= most_bits(percent)) & alike
+
+    def side(df: DataFrame, end: str):
+        return df.select("bucket", *(F.col(c).alias(f"{c}_{end}") for c in df.columns if c != "bucket"))
+
+    small = store(apart.where(F.col("others") <= TOGETHER).drop("others").join(classes.drop("least"), "node"), "small-buckets")
+    left, right = side(small.where("other"), "a"), side(small, "b")
     first = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["bucket"]  # a pair meets once
-    alike = _differing("parities_a", "parities_b") <= _most_parities(F.col("n_shingles_a") + F.col("n_shingles_b"), percent)
-    other = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-    more = left.join(right, (left["bucket"] == right["bucket"]) & other & near & first & alike)
-    more = more.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    more = store(more.select("a", "b").distinct(), "pairs")
+    once = (F.col("component_a") != F.col("component_b")) & (~F.col("other_b") | (F.col("node_a") < F.col("node_b")))
+    more = left.join(right, (left["bucket"] == right["bucket"]) & once & near_and_alike("a", "b") & first)
+    more = more.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+    crowd = store(apart.where(F.col("others") > TOGETHER).select("node", "component").distinct(), "crowd")
+    if not crowd.isEmpty():
+        sharing = store(_sharing(crowd, classes, texts, width, percent), "sharing")
+        of = classes.select("node", "n_shingles", "sketch", "parities")
+        sharing = sharing.join(of.toDF("x", "n_shingles_x", "sketch_x", "parities_x"), "x")
+        sharing = sharing.join(of.toDF("y", "n_shingles_y", "sketch_y", "parities_y"), "y").where(near_and_alike("x", "y"))
+        more = more.unionByName(sharing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    more = store(more.distinct(), "pairs")
     links = links.unionByName(_links(more, classes, texts, width, percent))
 
     found = store(components(links, "a", "b"), "components")
