@@ -167,15 +167,18 @@ def _confirmed(width: int, percent: int, batches):
 
 
 def _texts_of(nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """One text of each of the nodes."""
+    """One text of each of the nodes, stored."""
     wanted = classes.select("node", F.col("least.key").alias("key"), F.col("least.id").alias("first_id")).join(nodes, "node")
-    return wanted.join(texts, (wanted["key"] == texts["key"]) & wanted["first_id"].eqNullSafe(texts["id"])).select("node", "text")
+    held = wanted.join(texts, (wanted["key"] == texts["key"]) & wanted["first_id"].eqNullSafe(texts["id"]))
+    return store(held.select("node", "text"), "texts")
 
 
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+
+
+def _links(pairs: DataFrame, held: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs of nodes ``a`` and ``b`` that the full sets of their texts confirm."""
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    held = store(_texts_of(ends.distinct(), classes, texts), "texts")
     left = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = held.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return (
@@ -199,14 +202,14 @@ def _exploded(width: int, batches):
             )
 
 
-def _sharing(nodes: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _sharing(nodes: DataFrame, held: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs ``x`` and ``y`` of the nodes, in different components, that share a shingle among their rarest ones.
 
     With all shingles in one order, two sets at the limit share one among the first of each: of the larger set it is one of the
     first ``n - ceil(n * limit) + 1``, of the smaller one of the first ``n - ceil(n * 2 * limit / (1 + limit)) + 1``. The order is
     by how many of the nodes have a shingle, so what a mould's texts have in common comes last.
     """
-    held = _texts_of(nodes.select("node"), classes, texts)
+    held = held.join(nodes.select("node"), "node", "left_semi")
     rows = store(held.mapInArrow(partial(_exploded, width), "node binary, n long, shingle long"), "shingles")
     shared = store(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held_by")).where("held_by > 1"), "shared")
     ranked = rows.join(shared, "shingle", "left").withColumn(
@@ -298,7 +301,8 @@ def _judged(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
         pairs.join(sketches.toDF("b", "sketch_b"), "b").join(sketches.toDF("a", "sketch_a"), "a").where(near).select("a", "b"),
         "pairs",
     )
-    links = store(_links(pairs, classes, texts, width, percent), "links")
+    held = _texts_of(_ends(pairs).distinct(), classes, texts)
+    links = store(_links(pairs, held, width, percent), "links")
 
     # Second round: what shares a bucket and is still apart. The centre has met all of its bucket.
     found = components(links, "a", "b")
@@ -328,16 +332,19 @@ def _judged(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
     once = (F.col("component_a") != F.col("component_b")) & (~F.col("other_b") | (F.col("node_a") < F.col("node_b")))
     more = left.join(right, (left["bucket"] == right["bucket"]) & once & near_and_alike("a", "b") & first)
     more = more.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    more = store(more.distinct(), "pairs")
 
     crowd = store(apart.where(F.col("others") > TOGETHER).select("node", "component").distinct(), "crowd")
+    held = _texts_of(_ends(more).unionByName(crowd.select("node")).distinct(), classes, texts)
     if not crowd.isEmpty():
-        sharing = store(_sharing(crowd, classes, texts, width, percent), "sharing")
-        of = classes.select("node", "n_shingles", "sketch", "parities")
+        sharing = store(_sharing(crowd, held, width, percent), "sharing")
+        of = classes.select("node", "n_shingles", "sketch", "parities").join(crowd, "node", "left_semi")
+        of = store(of, "crowd-sketches")
         sharing = sharing.join(of.toDF("x", "n_shingles_x", "sketch_x", "parities_x"), "x")
         sharing = sharing.join(of.toDF("y", "n_shingles_y", "sketch_y", "parities_y"), "y").where(near_and_alike("x", "y"))
-        more = more.unionByName(sharing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-    more = store(more.distinct(), "pairs")
-    links = links.unionByName(_links(more, classes, texts, width, percent))
+        more = more.unionByName(sharing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+        more = store(more, "pairs")
+    links = links.unionByName(_links(more, held, width, percent))
 
     found = store(components(links, "a", "b"), "components")
     named = classes.select("node", F.col("least").alias("own")).join(found, "node", "left")
