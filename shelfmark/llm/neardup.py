@@ -349,6 +349,7 @@ def _judged(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
     found = store(components(links, "a", "b"), "components")
     named = classes.select("node", F.col("least").alias("own")).join(found, "node", "left")
     least = named.where("component is not null").groupBy("component").agg(F.min("own").alias("least"))
+    least = store(least, "least")  # as a table, so that the join with a component of very many nodes can be split
     named = named.join(least, "component", "left").select("node", F.coalesce("least", "own").alias("least"))
     joined = signed.select("id", "key", "node", "n_shingles").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least.id"))
